@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark import StorageLevel
@@ -31,6 +34,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/clickloom/{name}-{uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_clickloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = tempfile.mkdtemp(prefix="clickloom-package-")
+    archive = shutil.make_archive(f"{target}/clickloom", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._clickloom_shipped = True
+
+
+# A task of an iterative fit reads about this many numbers, so that small tables do not pay for
+# many near-empty tasks in every iteration. Large tables keep the splits of their scan.
+_VALUES_PER_TASK = 2_000_000
+
+
+def materialise(df: DataFrame, name: str, values_per_row: int = 1) -> DataFrame:
+    """Write a table to the shared folder once and read it back.
+
+    Iterative fits run a job per step, and every job ships the lineage of its input: this cuts it,
+    and a lost executor rereads files instead of repeating joins and windows. The scan splits files
+    by size, so a partition swollen by a hot key is evened out as well. Like checkpoint files, the
+    table stays until the shared folder is expired, because fitted models may refer to it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    table = spark.read.parquet(path)
+    wanted = max(1, math.ceil(table.count() * values_per_row / _VALUES_PER_TASK))
+    return table.coalesce(wanted) if wanted < table.rdd.getNumPartitions() else table
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[None]:
     """Keep tables that several jobs read; tables the caller already cached are left alone."""
