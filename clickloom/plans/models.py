@@ -117,7 +117,7 @@ class CtrModel:
 
     def fit(self, samples: DataFrame) -> PipelineModel:
         """Fit features, then the estimator, into one pipeline from raw samples to probabilities."""
-        inputs = samples.select(*RAW_INPUTS, self.label)
+        inputs = model_inputs(samples, self.label)
         with cached(inputs):
             features = fit_features(inputs, self.layout, self.dim, **self.feature_options)
             prepared = training_table(features, inputs, self.label)
@@ -129,6 +129,11 @@ class CtrModel:
         return PipelineModel(stages=[*features.stages, estimator.fit(prepared)])
 
 
+def model_inputs(samples: DataFrame, label: str) -> DataFrame:
+    """The columns that features and label need; a label may be one of the features."""
+    return samples.select(*dict.fromkeys([*RAW_INPUTS, label]))
+
+
 def training_table(features: PipelineModel, samples: DataFrame, label: str) -> DataFrame:
     """Feature vector and label of every sample, written out for the iterations to read."""
     prepared = features.transform(samples).select(FEATURES, label)
