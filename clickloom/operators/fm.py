@@ -319,7 +319,7 @@ class FactorizationMachine(
         model = FactorizationMachineModel(factors, linear if shape.use_linear else None, bias, low, high, history)
         model = self._copyValues(model)
         model._resetUid(self.uid)
-        return model.setParent(self) if hasattr(model, "setParent") else model
+        return model
 
 
 def label_range(dataset: DataFrame, label: str) -> tuple[float, float]:

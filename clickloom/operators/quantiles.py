@@ -10,7 +10,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.running import totals_before, with_chunks
+from clickloom.operators.running import chunks_for, totals_before, with_chunks
 
 
 def exact_quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
@@ -24,7 +24,8 @@ def exact_quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
     if rows == 0:
         raise ValueError(f"no values to cut in column {column}")
     counted = values.groupBy("value").agg(F.count("*").alias("n"))
-    ranked = totals_before(with_chunks(counted, ["value"]), ["value"], [((), {"before": F.col("n")})])
+    chunked = with_chunks(counted, ["value"], chunks_for(rows))
+    ranked = totals_before(chunked, ["value"], [((), {"before": F.col("n")})])
     # 0-based position of the i-th cut is ceil(i * rows / parts) - 1, in whole numbers.
     positions = [(i * rows + parts - 1) // parts - 1 for i in range(1, parts)]
     hits = F.filter(F.lit(positions), lambda p: (p >= F.col("before")) & (p < F.col("before") + F.col("n")))

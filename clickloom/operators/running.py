@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 _CARRY = "_carry"
+ROWS_PER_CHUNK = 4096
 MAX_CHUNKS = 4096
 
 
-def default_chunks(df: DataFrame) -> int:
-    """More chunks on a larger cluster, between 64 and ``MAX_CHUNKS``."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, min(MAX_CHUNKS, partitions))
+def chunks_for(rows: int) -> int:
+    """More chunks for a longer table, up to ``MAX_CHUNKS``."""
+    return max(1, min(MAX_CHUNKS, math.ceil(rows / ROWS_PER_CHUNK)))
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -61,7 +61,9 @@ def with_chunks(df: DataFrame, order_by: Sequence[str], chunks: int | None = Non
     One pass finds the cuts. When a single value of the first column holds more than a chunk, rows
     of that value are cut further along the second column.
     """
-    chunks = chunks or default_chunks(df)
+    chunks = chunks or chunks_for(df.count())
+    if chunks == 1:
+        return df.withColumn(CHUNK, F.lit(0).cast("bigint"))
     first = df.withColumn("_x1", _as_number(df, order_by[0]))
     cuts = _cuts(first, "_x1", chunks)
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b}) if len(order_by) > 1 else []
@@ -95,8 +97,9 @@ def totals_before(
         per_chunk = df.groupBy(*keys, CHUNK).agg(*[F.sum(v).alias(n) for n, v in values.items()])
         earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carry = per_chunk.select(
-            *keys, CHUNK, F.lit(True).alias(_CARRY), *[F.sum(n).over(earlier).alias(n) for n in values]
-        )
+            *keys, CHUNK, F.lit(True).alias(_CARRY), *[F.sum(n).over(earlier).alias(n) for n in values],
+            F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_nth"),
+        ).filter("_nth > 1").drop("_nth")
         rows = out.withColumns({**values, _CARRY: F.lit(False)}).unionByName(carry, allowMissingColumns=True)
         before = (
             Window.partitionBy(*keys, CHUNK)

@@ -58,7 +58,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return hash_split(samples(spark, sf_dir), "event_id")
+    """Training and validation part of the sample table, which is written out once for both."""
+    return hash_split(materialise(samples(spark, sf_dir), "samples", 2 * DIM + 10), "event_id")
 
 
 def r6(value: Column | str) -> Column:
@@ -120,7 +121,7 @@ def q_embedding_hadamard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, validation = split(spark, sf_dir)
+    train, validation = hash_split(samples(spark, sf_dir), "event_id")
     parts = [df.select("event_id", F.lit(n).alias("part")) for df, n in ((train, "train"), (validation, "validation"))]
     return parts[0].unionAll(parts[1]).withColumn("bucket", hash_bucket("event_id"))
 
@@ -224,10 +225,9 @@ def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores from a stream over the validation table's files."""
     model, validation = fitted_bayes(spark, sf_dir)
-    table = materialise(validation, "stream-in")
     source = scratch_path(spark, "stream-source")
-    table.write.parquet(source)
-    stream = spark.readStream.schema(table.schema).parquet(source)
+    validation.write.parquet(source)
+    stream = spark.readStream.schema(validation.schema).parquet(source)
     sink = scratch_path(spark, "stream-out")
     write_scores(model, stream, sink, scratch_path(spark, "stream-state")).awaitTermination()
     return ctr_only(spark.read.parquet(sink))
