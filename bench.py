@@ -10,8 +10,11 @@ import os
 import sys
 import time
 
+from clickloom.plans.models import CtrModel
+from clickloom.plans.scoring import throughput
 from verification.compare import local_session
-from verification.queries import QUERIES
+from verification.fixtures import DIM, LABEL
+from verification.queries import QUERIES, split
 
 HEADLINES = [
     "sample_table", "embedding_cosine", "ctr_quantile_bucket", "features_base", "features_inner", "features_outer",
@@ -19,6 +22,15 @@ HEADLINES = [
     "ipnn_score", "opnn_score", "auc_roc", "portable_net_score", "batch_score", "stream_score",
 ]
 
+# One cheap model per feature layout, for the rate of batch scoring.
+SCORED = {"nb": "base", "lr": "inner"}
+
+
+def rate(spark, sf_dir: str, name: str) -> float:
+    train, validation = split(spark, sf_dir)
+    model = CtrModel(name, DIM, LABEL, layout=SCORED[name]).fit(train)
+    return throughput(model, validation)["rows_per_second"]
+
 
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -30,9 +42,10 @@ def main(names: list[str]) -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 2)
         print(f"{name}: {seconds[name]} s", file=sys.stderr, flush=True)
+    rates = {name: round(rate(spark, sf_dir, name)) for name in ([] if names else SCORED)}
     print(json.dumps({
         "metric": "ctr_queries_total", "value": round(sum(seconds.values()), 2), "unit": "sec",
-        "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "queries": seconds, "scored_rows_per_second": rates, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 
 

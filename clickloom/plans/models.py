@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.operators.features import FEATURES, RAW_INPUTS, feature_stages, fit_features, vector_width
 from clickloom.operators.gbtlr import GBTLRClassifier
-from clickloom.session import cached, materialise
+from clickloom.session import materialise
 
 SEED = 1234
 
@@ -116,12 +116,12 @@ class CtrModel:
         return feature_stages(self.layout, self.dim, **self.feature_options)
 
     def fit(self, samples: DataFrame) -> PipelineModel:
-        """Fit features, then the estimator, into one pipeline from raw samples to probabilities."""
-        inputs = model_inputs(samples, self.label)
-        with cached(inputs):
-            features = fit_features(inputs, self.layout, self.dim, **self.feature_options)
-            prepared = training_table(features, inputs, self.label)
-        return self.fit_prepared(features, prepared)
+        """Fit features, then the estimator, into one pipeline from raw samples to probabilities.
+
+        ``samples`` had best be a stored table: a few passes read it, each only its own columns.
+        """
+        features = fit_features(samples, self.layout, self.dim, **self.feature_options)
+        return self.fit_prepared(features, prepared_table(features, samples, self.label))
 
     def fit_prepared(self, features: PipelineModel, prepared: DataFrame) -> PipelineModel:
         """Fit the estimator alone, on the table that fitted features have prepared."""
@@ -129,12 +129,8 @@ class CtrModel:
         return PipelineModel(stages=[*features.stages, estimator.fit(prepared)])
 
 
-def model_inputs(samples: DataFrame, label: str) -> DataFrame:
-    """The columns that features and label need; a label may be one of the features."""
-    return samples.select(*dict.fromkeys([*RAW_INPUTS, label]))
-
-
-def training_table(features: PipelineModel, samples: DataFrame, label: str) -> DataFrame:
+def prepared_table(features: PipelineModel, samples: DataFrame, label: str) -> DataFrame:
     """Feature vector and label of every sample, written out for the iterations to read."""
-    prepared = features.transform(samples).select(FEATURES, label)
-    return materialise(prepared, "training", vector_width(prepared))
+    inputs = samples.select(*dict.fromkeys([*RAW_INPUTS, label]))
+    prepared = features.transform(inputs).select(FEATURES, label)
+    return materialise(prepared, "prepared", vector_width(prepared))

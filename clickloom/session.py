@@ -48,7 +48,7 @@ def ship_package(spark: SparkSession) -> None:
 
 # A task of an iterative fit reads about this many numbers, so that small tables do not pay for
 # many near-empty tasks in every iteration. Large tables keep the splits of their scan.
-_VALUES_PER_TASK = 2_000_000
+_VALUES_PER_TASK = 300_000
 
 
 def materialise(df: DataFrame, name: str, values_per_row: int = 1) -> DataFrame:

@@ -45,8 +45,8 @@ def small_split(spark):
 def inner_small(small_split):
     """Prepared inner features of both parts."""
     from clickloom.operators.features import fit_features
-    from clickloom.plans.models import training_table
+    from clickloom.plans.models import prepared_table
 
     train, validation = small_split
     features = fit_features(train, "inner", 64)
-    return training_table(features, train, "label_planted").cache(), features.transform(validation).cache()
+    return prepared_table(features, train, "label_planted").cache(), features.transform(validation).cache()

@@ -57,9 +57,13 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_table(events, embeddings)
 
 
+def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample table written out, for queries that pass over it several times."""
+    return materialise(samples(spark, sf_dir), "samples", 2 * DIM + 10)
+
+
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and validation part of the sample table, which is written out once for both."""
-    return hash_split(materialise(samples(spark, sf_dir), "samples", 2 * DIM + 10), "event_id")
+    return hash_split(stored_samples(spark, sf_dir), "event_id")
 
 
 def r6(value: Column | str) -> Column:
@@ -173,10 +177,8 @@ def q_ctr_quantile_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, layout: str, **options) -> DataFrame:
-    df = samples(spark, sf_dir)
-    with cached(df):
-        features = fit_features(df, layout, DIM, relative_error=0.0, **options)
-    return features.transform(df)
+    df = stored_samples(spark, sf_dir)
+    return fit_features(df, layout, DIM, relative_error=0.0, **options).transform(df)
 
 
 def features_query(layout: str, **options) -> Query:
@@ -255,7 +257,8 @@ def q_fm_gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = Shape(vector_width(df), FM_FACTORS)
     rows = pack_rows(df, FEATURES, as_sign(LABEL))
     flat = shape.pack(*fm_weights(shape.num_features), FM_BIAS)
-    loss, gradient, count = row_evaluator(rows, shape, CLASSIFICATION)([flat], 1)[0]
+    with cached(rows):
+        loss, gradient, count = row_evaluator(rows, shape, CLASSIFICATION)([flat], 1)[0]
     out = [("loss", 0, 0, float(loss)), ("rows", 0, 0, float(count)), *_weight_rows(shape, gradient)]
     return _weight_table(spark, out)
 
