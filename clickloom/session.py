@@ -17,16 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only on a local master where nothing is configured.
+    A temporary folder is used only on a local master where nothing is configured. It is kept on
+    the Spark context, because the setting itself can't be changed in a running session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    created = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
