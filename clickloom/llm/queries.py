@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, language_id, packing, quality, token_counts
+from clickloom.llm import byte_bpe, fingerprints, language_id, packing, quality, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
@@ -30,6 +30,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[1]
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled("embedding").alias("vector"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -45,6 +50,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents")).withColumn("offset", F.col("offset").cast("long"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
@@ -59,7 +68,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_token_counts": op4_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_fingerprints": op7_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
 }
