@@ -14,4 +14,41 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3}
+# Keys of runs of 2**k lines, from those of their halves; documents have fewer than 2**LEVELS lines.
+LEVELS = 14
+OP6_RUNS = """
+WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM {docs} WHERE text IS NOT NULL
+), l0 AS (SELECT doc_id, pos, line AS key, length(line) AS chars, 1 AS len FROM lines)
+"""
+
+
+def line_levels(docs: str, least_chars: int = 30) -> str:
+    """SQL for the lines that repeat: a table ``gone(doc_id, pos)`` after the WITH."""
+    parts = [OP6_RUNS.format(docs=docs).strip()]
+    for k in range(LEVELS):
+        size = 1 << k
+        parts.append(
+            f"f{k} AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, pos) AS copy, count(*) OVER (PARTITION BY key) AS n FROM l{k}),"
+            f" l{k + 1} AS (SELECT a.doc_id, a.pos, md5(a.key || chr(10) || b.key) AS key, a.chars + b.chars AS chars, {2 * size} AS len"
+            f" FROM f{k} a JOIN f{k} b ON a.doc_id = b.doc_id AND b.pos = a.pos + {size} WHERE a.n > 1 AND b.n > 1)"
+        )
+    spans = " UNION ALL ".join(f"SELECT doc_id, pos, len FROM f{k} WHERE copy > 1 AND chars >= {least_chars}" for k in range(LEVELS))
+    parts.append(f"gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + len)) AS pos FROM ({spans}))")
+    return ", ".join(parts)
+
+
+OP6 = (
+    line_levels("documents")
+    + """
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INTEGER) AS n_lines, CAST(coalesce(k.n, 0) AS INTEGER) AS n_removed,
+       sha256(CASE WHEN k.n IS NULL THEN d.text ELSE coalesce(k.kept, '') END) AS kept_sha256
+FROM documents d LEFT JOIN (
+  SELECT l.doc_id, count(g.pos) AS n, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS kept
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id HAVING count(g.pos) > 0
+) k ON d.doc_id = k.doc_id
+"""
+)
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6}

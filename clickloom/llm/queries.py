@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, fingerprints, language_id, packing, quality, token_counts, topk
+from clickloom.llm import byte_bpe, fingerprints, language_id, line_dedup, packing, quality, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
@@ -50,6 +50,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents")).withColumn("offset", F.col("offset").cast("long"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.delete_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_token_counts": op4_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_fingerprints": op7_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
 }
