@@ -51,4 +51,33 @@ FROM documents d LEFT JOIN (
 """
 )
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6}
+
+
+def near_copies(docs: str, words: int) -> str:
+    """SQL for the similarity components: tables ``n(doc_id, n)`` and ``comp(doc_id, component_id)`` after the WITH."""
+    joined = " || ' ' || ".join(f"w[i + {k}]" for k in range(words))
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM {docs}
+), sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {words - 2}), lambda i: {joined}) END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM {docs} UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+"""
+
+
+OP8 = (
+    near_copies("documents", 2)
+    + """
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM comp LEFT JOIN n USING (doc_id)
+"""
+)
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8}

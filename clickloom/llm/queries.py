@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, fingerprints, language_id, line_dedup, packing, quality, token_counts, topk
+from clickloom.llm import byte_bpe, fingerprints, language_id, line_dedup, near_dedup, packing, quality, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
@@ -59,6 +59,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.component_ids(table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
@@ -78,5 +82,6 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op8_near_dedup": op8_near_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
