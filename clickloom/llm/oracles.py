@@ -80,4 +80,32 @@ FROM comp LEFT JOIN n USING (doc_id)
 """
 )
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8}
+
+
+def repeated_words(docs: str) -> str:
+    """SQL for the words that earlier documents have in a window of 50: tables ``w(doc_id, w)`` and ``cut(doc_id, i)``."""
+    return f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM {docs}
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS key
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)
+), later AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY key) AS first FROM windows) WHERE first < doc_id
+), cut AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM later)
+"""
+
+
+OP9 = (
+    repeated_words("documents")
+    + """, kept AS (
+  SELECT u.doc_id, count(c.i) AS n_removed, string_agg(u.word, ' ' ORDER BY u.i) FILTER (WHERE c.i IS NULL) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w) u
+  LEFT JOIN cut c ON u.doc_id = c.doc_id AND u.i = c.i GROUP BY u.doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+)
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8, "op9_substring_dedup": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, fingerprints, language_id, line_dedup, near_dedup, packing, quality, token_counts, topk
+from clickloom.llm import byte_bpe, fingerprints, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
@@ -63,6 +63,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.component_ids(table(spark, sf_dir, "documents"), words=2)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.delete_repeats(table(spark, sf_dir, "documents"))
+    words = F.coalesce(substring_dedup.plain(F.col("text")), F.lit(""))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
@@ -83,5 +89,6 @@ QUERIES: dict[str, Query] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_fingerprints": op7_fingerprints,
     "op8_near_dedup": op8_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
