@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +42,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-def packed_documents(docs: DataFrame) -> DataFrame:
-    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack_best_fit(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
-
-
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_documents(table(spark, sf_dir, "documents")).withColumn("offset", F.col("offset").cast("long"))
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    packed = packing.pack_best_fit(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.withColumn("offset", F.col("offset").cast("long"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +89,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": corpus_pipeline.run,
 }
