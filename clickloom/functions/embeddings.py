@@ -30,11 +30,18 @@ def _same_length(a: Column, b: Column, value: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two double arrays; 0 when either has no length."""
-    squares = dot(a, a) * dot(b, b)
-    return _same_length(a, b, F.when(squares == 0.0, F.lit(0.0)).otherwise(
-        dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
-    ))
+    """Cosine similarity of two double arrays; 0 when either has no length.
+
+    The three products go through an array of one, so that each is computed once.
+    """
+    products = F.array(F.struct(dot(a, a).alias("aa"), dot(b, b).alias("bb"), dot(a, b).alias("ab")))
+    value = F.transform(
+        products,
+        lambda p: F.when((p["aa"] == 0.0) | (p["bb"] == 0.0), F.lit(0.0)).otherwise(
+            p["ab"] / (F.sqrt(p["aa"]) * F.sqrt(p["bb"]))
+        ),
+    )
+    return _same_length(a, b, F.get(value, 0))
 
 
 def hadamard(a: Column, b: Column) -> Column:

@@ -23,6 +23,11 @@ def require_binary(label: str) -> Column:
     return F.when(is_binary(label), as_double(label)).otherwise(F.raise_error(message))
 
 
+def require_double(label: str) -> Column:
+    """The label as double; the job fails on the first row without one."""
+    return F.when(F.col(label).isNull(), F.raise_error(F.lit(f"label {label} is null"))).otherwise(as_double(label))
+
+
 def as_sign(label: str) -> Column:
-    """+1 for a positive label, -1 otherwise."""
-    return F.when(F.col(label) > 0, 1.0).otherwise(-1.0)
+    """+1 for a positive label, -1 for another; the job fails on the first row without one."""
+    return F.when(require_double(label) > 0, 1.0).otherwise(-1.0)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.labels import as_double, as_sign
+from clickloom.functions.labels import as_double, as_sign, require_double
 from clickloom.functions.probability import clamp, sigmoid, two_class
 from clickloom.operators.checks import at_least, between, one_of, positive, positive_whole
 from clickloom.operators.features import require_width, vector_width
@@ -59,15 +59,16 @@ MODEL_SCHEMA = T.StructType([
     T.StructField("format_version", T.StringType()),
 ])
 
-# Partial gradients up to this many numbers in all go straight to the driver; beyond it they are
-# summed on the executors first.
-_DIRECT_NUMBERS = 1_000_000
+# Draws of a mini-batch are whole numbers below this.
+_DRAWS = 1 << 31
 
 Evaluate = Callable[[Sequence[np.ndarray], int], list[tuple[float, np.ndarray, int]]]
 
 
 def pack_rows(df: DataFrame, features: str, label: Column) -> DataFrame:
-    """Rows to (y double, x binary), where x holds the features as float64.
+    """Rows to (y double, x binary, key long), where x holds the features as float64.
+
+    ``key`` is a hash of the row, so that mini-batches don't depend on how rows are partitioned.
 
     An Arrow batch of such rows keeps all x back to back in one buffer, which numpy reads as a
     matrix without a copy.
@@ -85,10 +86,10 @@ def pack_rows(df: DataFrame, features: str, label: Column) -> DataFrame:
             offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * (width * 8)
             buffers = [None, pa.py_buffer(offsets), pa.py_buffer(x)]
             packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, batch.column(2)], names=["y", "x", "key"])
 
     rows = df.select(label.cast("double").alias("y"), vector_to_array(features).alias("x"))
-    return rows.mapInArrow(pack, "y double, x binary")
+    return rows.withColumn("key", F.xxhash64("y", "x")).mapInArrow(pack, "y double, x binary, key long")
 
 
 def _matrix(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,34 +107,31 @@ def row_evaluator(
     fraction: float = 1.0,
     seed: int = 0,
 ) -> Evaluate:
-    """A function that gives, for several weight vectors at once, mean loss, mean gradient and rows."""
-    partitions = rows.rdd.getNumPartitions()
+    """A function that gives, for several weight vectors at once, mean loss, mean gradient and rows.
+
+    A mini-batch is drawn by a hash of row key, seed and iteration before any row goes to Python.
+    Partial sums always meet on the executors; the driver gets one number for each position.
+    """
 
     def evaluate(candidates: Sequence[np.ndarray], iteration: int) -> list[tuple[float, np.ndarray, int]]:
         points = np.stack(candidates)
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals = np.zeros((len(points), shape.size + 2))
-            rng = np.random.default_rng([seed, iteration, TaskContext.get().partitionId()])
             for batch in batches:
                 x, y = _matrix(batch, shape.num_features)
-                if fraction < 1.0:
-                    chosen = rng.random(len(y)) < fraction
-                    x, y = x[chosen], y[chosen]
                 for total, flat in zip(totals, points):
                     loss, gradient = loss_and_gradient(x, y, shape, flat, task, bounds)
                     total[:2] += loss, len(y)
                     total[2:] += gradient
             yield pa.RecordBatch.from_arrays([pa.array([totals.ravel()], pa.list_(pa.float64()))], names=["sums"])
 
-        partials = rows.mapInArrow(partial, "sums array<double>")
-        if partitions * points.size <= _DIRECT_NUMBERS:
-            summed = np.sum([r["sums"] for r in partials.collect()], axis=0)
-        else:
-            by_position = partials.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("total"))
-            summed = np.zeros(len(points) * (shape.size + 2))
-            for row in by_position.collect():
-                summed[row["pos"]] = row["total"]
+        draw = F.pmod(F.xxhash64("key", F.lit(seed), F.lit(iteration)), F.lit(_DRAWS))
+        batch = rows if fraction == 1.0 else rows.filter(draw < int(fraction * _DRAWS))
+        partials = batch.select("y", "x").mapInArrow(partial, "sums array<double>")
+        by_position = partials.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("total")).toPandas()
+        summed = np.zeros(len(points) * (shape.size + 2))
+        summed[by_position["pos"]] = by_position["total"]
         results = []
         for total in np.reshape(summed, (len(points), -1)):
             count = int(total[1])
@@ -165,7 +163,7 @@ def descend(
 def lbfgs(
     evaluate: Evaluate, start: np.ndarray, penalties: np.ndarray, iterations: int, corrections: int, tol: float
 ) -> tuple[np.ndarray, list[float]]:
-    """L-BFGS with a batched backtracking search: one job tries several step lengths."""
+    """L-BFGS with a backtracking search: a quarter of the step length after each refusal."""
 
     def objectives(points: Sequence[np.ndarray], iteration: int) -> list[tuple[float, np.ndarray]]:
         found = evaluate(points, iteration)
@@ -182,15 +180,15 @@ def lbfgs(
         slope = float(direction @ gradient)
         if slope >= 0:
             pairs, direction, slope = [], -gradient, -float(gradient @ gradient)
-        first = 1.0 if pairs else 1.0 / max(np.linalg.norm(gradient), 1e-12)
+        s = 1.0 if pairs else 1.0 / max(np.linalg.norm(gradient), 1e-12)
         accepted = None
-        for trial in range(4):
-            steps = [first * 0.25 ** (4 * trial + j) for j in range(4)]
-            found = objectives([weights + s * direction for s in steps], i)
-            fits = [(v, g, s) for (v, g), s in zip(found, steps) if v <= value + 1e-4 * s * slope]
-            if fits:
-                accepted = min(fits, key=lambda f: f[0])
+        for _ in range(16):
+            # Nearly always the first length fits, so lengths are tried one by one.
+            new_value, new_gradient = objectives([weights + s * direction], i)[0]
+            if new_value <= value + 1e-4 * s * slope:
+                accepted = new_value, new_gradient, s
                 break
+            s *= 0.25
         if accepted is None:
             break
         new_value, new_gradient, s = accepted
@@ -299,7 +297,7 @@ class FactorizationMachine(
         get = self.getOrDefault
         task, label, features = get("task"), self.getLabelCol(), self.getFeaturesCol()
         shape = Shape(vector_width(dataset, features), get("numFactors"), get("useBias"), get("useLinear"))
-        target = as_sign(label) if task == CLASSIFICATION else as_double(label)
+        target = as_sign(label) if task == CLASSIFICATION else require_double(label)
         low, high = label_range(dataset, label) if task == REGRESSION else (float("-inf"), float("inf"))
         penalties = shape.penalties(get("regBias"), get("regLinear"), get("regFactors"))
         start = shape.initial(get("initStd"), get("seed"))

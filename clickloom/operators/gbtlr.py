@@ -113,6 +113,15 @@ class _GBTLRParams(
             self.clear(self.threshold)
         return self._set(**params)
 
+    def _set(self, **params):
+        pair = params.get("thresholds")
+        if pair is not None and (any(t < 0 for t in pair) or sum(t == 0 for t in pair) > 1):
+            raise ValueError(f"thresholds must be at least 0, with one 0 at most, not {pair}")
+        interval = params.get("checkpointInterval")
+        if interval is not None and interval != -1 and interval < 1:
+            raise ValueError(f"checkpointInterval must be -1 or at least 1, not {interval}")
+        return super()._set(**params)
+
     def setThreshold(self, value: float):
         return self.setParams(threshold=value)
 
@@ -125,7 +134,8 @@ class _GBTLRParams(
             pair = self.getOrDefault(self.thresholds)
             if len(pair) != 2:
                 raise ValueError("thresholds must hold two values")
-            return 1.0 / (1.0 + pair[0] / pair[1])
+            # P(1) wins where p / pair[1] > (1 - p) / pair[0]; a zero in second place means always.
+            return 0.0 if pair[1] == 0.0 else 1.0 / (1.0 + pair[0] / pair[1])
         return self.getOrDefault(self.threshold)
 
     def getThresholds(self) -> list[float]:
@@ -204,9 +214,7 @@ class GBTLRClassifier(Estimator, _GBTLRParams, DefaultParamsReadable, DefaultPar
         points = dataset.select(require_binary(self.getLabelCol()).alias(_LABEL), features, *weight)
         with cached(points):
             trees = self._trees().fit(points)
-            # Sparse rows: about one number per feature and tree.
-            values = vector_width(dataset, features) + len(trees.trees)
-            described = materialise(add_leaf_features(points, trees, features, output), "leaves", values)
+            described = materialise(add_leaf_features(points, trees, features, output), "leaves")
             regression = self._regression().fit(described)
         model = self._copyValues(GBTLRClassificationModel(trees, regression))
         model._resetUid(self.uid)
@@ -248,7 +256,8 @@ class GBTLRClassificationModel(Model, _GBTLRParams, MLWritable, MLReadable):
             dataset, self.trees, self.getFeaturesCol(), self.getOrDefault("gbtGeneratedFeaturesCol")
         )
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def _configured(self) -> LogisticRegressionModel:
+        """The regression with this model's column names and threshold."""
         get = self.getOrDefault
         regression = self.regression.copy({
             self.regression.featuresCol: get("gbtGeneratedFeaturesCol"),
@@ -256,12 +265,19 @@ class GBTLRClassificationModel(Model, _GBTLRParams, MLWritable, MLReadable):
             self.regression.probabilityCol: get("probabilityCol"),
             self.regression.rawPredictionCol: get("rawPredictionCol"),
         })
-        return regression.transform(self.with_leaves(dataset))
+        if self.isSet(self.thresholds):
+            regression.setThresholds(get("thresholds"))
+        elif self.isSet(self.threshold):
+            regression.setThreshold(get("threshold"))
+        return regression
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self._configured().transform(self.with_leaves(dataset))
 
     def evaluate(self, dataset: DataFrame):
         """The logistic regression's summary on a test table."""
         labelled = dataset.withColumn(_LABEL, require_binary(self.getLabelCol()))
-        return self.regression.evaluate(self.with_leaves(labelled))
+        return self._configured().evaluate(self.with_leaves(labelled))
 
     def rules(self, spark: SparkSession | None = None) -> DataFrame:
         """One row per leaf: treeID, leaf, rule, and the weight the regression gives the leaf.

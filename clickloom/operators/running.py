@@ -1,9 +1,10 @@
 """Running totals per key that stay balanced when one key holds much of the table.
 
 A plain window ``PARTITION BY key ORDER BY time`` puts a whole key into one task. Here the order
-axis is first cut into chunks of about equal row count; a window runs inside each (key, chunk), and
-each chunk starts from one carried row that holds the totals of the key's earlier chunks. The result
-is exact whatever the cuts are: they only decide how the work is spread.
+axis is cut into chunks of about equal row count, and keys with more rows than a chunk (there can't
+be more of them than chunks) are split by chunk: the window runs inside each (key, chunk), and a
+chunk starts from one carried row that holds the totals of the key's earlier chunks. All other keys
+stay whole. The result is exact whatever the cuts are: they only decide how the work is spread.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-_CARRY = "_carry"
-ROWS_PER_CHUNK = 4096
-MAX_CHUNKS = 4096
+_CARRY, _OWN = "_carry", "_own"
+# What a task can sort at ease; 10**12 rows make 10**6 chunks.
+ROWS_PER_CHUNK = 1_000_000
 
 
 def chunks_for(rows: int) -> int:
-    """More chunks for a longer table, up to ``MAX_CHUNKS``."""
-    return max(1, min(MAX_CHUNKS, math.ceil(rows / ROWS_PER_CHUNK)))
+    """As many chunks as the rows fill."""
+    return max(1, math.ceil(rows / ROWS_PER_CHUNK))
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -45,6 +46,8 @@ def _as_number(df: DataFrame, name: str) -> Column:
 def _cuts(df: DataFrame, name: str, chunks: int) -> list[float]:
     """Approximate quantiles, repeats included: a value listed twice holds more than a chunk."""
     grid = [i / chunks for i in range(1, chunks)]
+    if not grid:
+        return []
     return sorted(q for q in df.approxQuantile(name, grid, 0.5 / chunks) if q < math.inf)
 
 
@@ -62,8 +65,6 @@ def with_chunks(df: DataFrame, order_by: Sequence[str], chunks: int | None = Non
     of that value are cut further along the second column.
     """
     chunks = chunks or chunks_for(df.count())
-    if chunks == 1:
-        return df.withColumn(CHUNK, F.lit(0).cast("bigint"))
     first = df.withColumn("_x1", _as_number(df, order_by[0]))
     cuts = _cuts(first, "_x1", chunks)
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b}) if len(order_by) > 1 else []
@@ -71,12 +72,15 @@ def with_chunks(df: DataFrame, order_by: Sequence[str], chunks: int | None = Non
     cuts += [math.nextafter(h, math.inf) for h in heavy]
     out = _bucket(first, "_x1", "_b1", cuts)
     inner: Column = F.lit(0)
+    width = 1
     if heavy:
         is_heavy = F.col("_x1").isin(heavy)
         out = out.withColumn("_x2", _as_number(df, order_by[1]))
-        out = _bucket(out, "_x2", "_b2", _cuts(out.filter(is_heavy), "_x2", chunks))
+        inner_cuts = _cuts(out.filter(is_heavy), "_x2", chunks)
+        width = len(inner_cuts) + 2
+        out = _bucket(out, "_x2", "_b2", inner_cuts)
         inner = F.when(is_heavy, F.col("_b2").cast("bigint")).otherwise(0)
-    chunk = F.col("_b1").cast("bigint") * (2 * MAX_CHUNKS) + inner
+    chunk = F.col("_b1").cast("bigint") * width + inner
     return out.withColumn(CHUNK, chunk).drop("_x1", "_x2", "_b1", "_b2")
 
 
@@ -84,25 +88,33 @@ def totals_before(
     df: DataFrame,
     order_by: Sequence[str],
     groups: Sequence[tuple[Sequence[str], Mapping[str, Column]]],
+    rows_per_key: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add, for each group, the totals over the rows of the same key that come strictly before.
 
     ``df`` carries ``_chunk`` from :func:`with_chunks` over the same ``order_by``, which must order
     rows uniquely. ``groups`` lists (key columns, {new column: value to sum}); a row with nothing
-    before it gets 0.
+    before it gets 0. Keys of more than ``rows_per_key`` rows are split by chunk. A group whose keys
+    include those of the group before is split like it, so that both windows share one exchange.
     """
-    out = df
+    out, base, before_keys = df, None, None
     for keys, totals in groups:
+        if base is None or not before_keys or not set(before_keys) <= set(keys):
+            out, base = _split_hot_keys(out, keys, rows_per_key), list(keys)
+        before_keys = base
         values = {f"_v_{name}": value for name, value in totals.items()}
-        per_chunk = df.groupBy(*keys, CHUNK).agg(*[F.sum(v).alias(n) for n, v in values.items()])
-        earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        # Only split keys have rows outside chunk 0, and only they carry anything on.
+        split = out.filter(F.col(_OWN).isNotNull())
+        per_chunk = split.groupBy(*keys, _OWN).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+        along = Window.partitionBy(*keys).orderBy(_OWN)
         carry = per_chunk.select(
-            *keys, CHUNK, F.lit(True).alias(_CARRY), *[F.sum(n).over(earlier).alias(n) for n in values],
-            F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_nth"),
+            *keys, _OWN, F.lit(True).alias(_CARRY),
+            *[F.sum(n).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias(n) for n in values],
+            F.row_number().over(along).alias("_nth"),
         ).filter("_nth > 1").drop("_nth")
         rows = out.withColumns({**values, _CARRY: F.lit(False)}).unionByName(carry, allowMissingColumns=True)
         before = (
-            Window.partitionBy(*keys, CHUNK)
+            Window.partitionBy(*keys, _OWN)
             .orderBy(F.desc(_CARRY), *order_by)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
@@ -113,4 +125,17 @@ def totals_before(
             .filter(~F.col(_CARRY))
             .drop(_CARRY, *values)
         )
-    return out
+    return out.drop(_OWN)
+
+
+def _split_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_key: int) -> DataFrame:
+    """Add ``_own``: the chunk for rows of keys with more than ``rows_per_key`` rows, null for the rest."""
+    df = df.drop(_OWN)
+    if not keys:
+        return df.withColumn(_OWN, F.col(CHUNK))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_key)
+    named = counts.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
+    # At most one key for each rows_per_key rows of the table.
+    joined = df.join(F.broadcast(named), same, "left")
+    return joined.withColumn(_OWN, F.when(F.col("_hot"), F.col(CHUNK))).drop("_hot", *[f"_hot_{i}" for i in range(len(keys))])

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 1000
 
@@ -15,17 +16,26 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int
     return df.randomSplit(list(weights), seed)
 
 
-def hash_bucket(key: str, offset: int = 7) -> Column:
+def hash_draw(df: DataFrame, key: str, offset: int = 7) -> Column:
+    """A number in [0, 2**32) from the row key alone: a number is shifted by ``offset``, a text salted with it."""
+    salted = F.col(key) + offset if isinstance(df.schema[key].dataType, T.NumericType) else F.concat(F.lit(f"{offset}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(salted.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_bucket(df: DataFrame, key: str, offset: int = 7) -> Column:
     """A number in 0..999 from the row key alone."""
-    prefix = F.substring(F.md5((F.col(key) + offset).cast("string")), 1, 8)
-    return F.conv(prefix, 16, 10).cast("bigint") % BUCKETS
+    return hash_draw(df, key, offset) % BUCKETS
 
 
 def hash_split(df: DataFrame, key: str, train: float = 0.7, offset: int = 7) -> tuple[DataFrame, DataFrame]:
-    """A split that any rerun, on any partitioning, repeats row by row."""
-    limit = round(train * BUCKETS)
-    bucket = hash_bucket(key, offset)
-    return df.filter(bucket < limit), df.filter(bucket >= limit)
+    """A split that any rerun, on any partitioning, repeats row by row; rows without key go to the second part.
+
+    Shares in thousandths go by bucket, finer ones by the whole range of the hash.
+    """
+    coarse = abs(train * BUCKETS - round(train * BUCKETS)) < 1e-9
+    chosen = hash_bucket(df, key, offset) < round(train * BUCKETS) if coarse else hash_draw(df, key, offset) < round(train * 2**32)
+    chosen = F.coalesce(chosen, F.lit(False))
+    return df.filter(chosen), df.filter(~chosen)
 
 
 def mini_batch(df: DataFrame, fraction: float, seed: int) -> DataFrame:

@@ -133,4 +133,4 @@ def prepared_table(features: PipelineModel, samples: DataFrame, label: str) -> D
     """Feature vector and label of every sample, written out for the iterations to read."""
     inputs = samples.select(*dict.fromkeys([*RAW_INPUTS, label]))
     prepared = features.transform(inputs).select(FEATURES, label)
-    return materialise(prepared, "prepared", vector_width(prepared))
+    return materialise(prepared, "prepared")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import shutil
 import tempfile
 from collections.abc import Iterator
@@ -46,12 +45,7 @@ def ship_package(spark: SparkSession) -> None:
     context._clickloom_shipped = True
 
 
-# A task of an iterative fit reads about this many numbers, so that small tables do not pay for
-# many near-empty tasks in every iteration. Large tables keep the splits of their scan.
-_VALUES_PER_TASK = 2_000_000
-
-
-def materialise(df: DataFrame, name: str, values_per_row: int = 1) -> DataFrame:
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
     Iterative fits run a job per step, and every job ships the lineage of its input: this cuts it,
@@ -62,9 +56,7 @@ def materialise(df: DataFrame, name: str, values_per_row: int = 1) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    table = spark.read.parquet(path)
-    wanted = max(1, math.ceil(table.count() * values_per_row / _VALUES_PER_TASK))
-    return table.coalesce(wanted) if wanted < table.rdd.getNumPartitions() else table
+    return spark.read.parquet(path)
 
 
 @contextmanager

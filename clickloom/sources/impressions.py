@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.embeddings import dot
-from clickloom.operators.running import CHUNK, totals_before, with_chunks
+from clickloom.operators.running import CHUNK, ROWS_PER_CHUNK, totals_before, with_chunks
 
 EMBEDDING_DIM = 64
 
@@ -17,7 +17,7 @@ LAST_ITEM_VECTOR = 499
 PLANTED_BIAS, PLANTED_DOT, PLANTED_TYPE, PLANTED_NEW = -0.5, 5.0, 1.0, -1.5
 
 
-def impressions_with_history(events: DataFrame, chunks: int | None = None) -> DataFrame:
+def impressions_with_history(events: DataFrame, chunks: int | None = None, rows_per_key: int = ROWS_PER_CHUNK) -> DataFrame:
     """One slim row per event, with click and impression counts strictly before it."""
     impressions = events.select(
         "event_id",
@@ -36,10 +36,11 @@ def impressions_with_history(events: DataFrame, chunks: int | None = None) -> Da
             (("user_id", "item_id"), {"ui_click": click, "ui_imp": one}),
             (("item_id",), {"i_click": click, "i_imp": one}),
         ],
+        rows_per_key,
     ).drop(CHUNK)
 
 
-def sample_table(events: DataFrame, embeddings: DataFrame, chunks: int | None = None) -> DataFrame:
+def sample_table(events: DataFrame, embeddings: DataFrame, chunks: int | None = None, rows_per_key: int = ROWS_PER_CHUNK) -> DataFrame:
     """The sample table with ``event_id`` as row key and a second, learnable ``label_planted``.
 
     The two look-ups carry no broadcast hint: Spark broadcasts the embeddings where their size
@@ -53,7 +54,7 @@ def sample_table(events: DataFrame, embeddings: DataFrame, chunks: int | None =
         F.concat(F.lit("c"), F.col("label").cast("string")).alias("content_type"),
     )
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    joined = impressions_with_history(events, chunks).join(items, "item_id").join(users, "user_id")
+    joined = impressions_with_history(events, chunks, rows_per_key).join(items, "item_id").join(users, "user_id")
     samples = joined.select(
         "event_id",
         F.col("user_id").cast("int").alias("user_id"),

@@ -29,7 +29,7 @@ def tiny_samples(spark):
     from clickloom.session import materialise
     from verification.queries import samples
 
-    return materialise(samples(spark, TINY), "tiny", 138).cache()
+    return materialise(samples(spark, TINY), "tiny").cache()
 
 
 @pytest.fixture(scope="session")

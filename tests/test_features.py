@@ -10,7 +10,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from clickloom.functions.embeddings import to_vectors
-from clickloom.functions.labels import as_sign, require_binary
+from clickloom.functions.labels import as_sign, require_binary, require_double
 from clickloom.operators.features import (
     FEATURES,
     LAYOUTS,
@@ -75,14 +75,33 @@ def test_to_vectors_keeps_other_columns(spark, tiny_samples):
 
 def test_labels(spark):
     df = spark.createDataFrame([(0,), (1,), (2,), (None,)], "y int")
-    signs = [r[0] for r in df.select(as_sign("y")).collect()]
-    assert signs == [-1.0, 1.0, 1.0, -1.0]
+    signs = [r[0] for r in df.filter("y is not null").select(as_sign("y")).collect()]
+    assert signs == [-1.0, 1.0, 1.0]
+    for column in (as_sign("y"), require_double("y")):
+        with pytest.raises(Exception, match="label y is null"):
+            df.select(column).collect()
     assert [r[0] for r in df.filter("y < 2").select(require_binary("y")).collect()] == [0.0, 1.0]
     for bad in ("y = 2", "y IS NULL"):
         with pytest.raises(Exception, match="labels must be 0 or 1"):
             df.filter(bad).select(require_binary("y")).collect()
 
 
+def test_text_keys_and_fine_shares_are_split(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), "id")
+    train, rest = hash_split(df, "key")
+    assert abs(train.count() - 14_000) < 300 and train.count() + rest.count() == 20_000
+    assert abs(hash_split(df, "id", 0.9996)[1].count() - 8) < 12
+    with_null = spark.createDataFrame([(None,), ("a",)], "key string")
+    parts = hash_split(with_null, "key")
+    assert parts[0].count() + parts[1].count() == 2
+
+
+def test_cosine_of_tiny_vectors(spark):
+    df = pairs(spark, [(1, [1e-90, 0.0], [1e-90, 0.0]), (2, [0.0, 0.0], [1.0, 0.0])])
+    out = EmbeddingCosine(inputCols=PAIR, outputCol="p").transform(df)
+    assert [r["p"] for r in out.orderBy("id").collect()] == [pytest.approx(1.0), 0.0]
+
+
 def test_hash_split_ignores_partitioning(tiny_samples):
     train, validation = hash_split(tiny_samples, "event_id")
     again, _ = hash_split(tiny_samples.repartition(13), "event_id")
@@ -168,8 +187,8 @@ def test_sample_table_is_the_same_however_it_is_cut(spark, tiny_samples):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     embeddings = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     want = tiny_samples.drop("user_embedding", "item_embedding")
-    for chunks in (1, 40):
-        got = sample_table(events.repartition(7), embeddings, chunks).select(want.columns)
+    for chunks, rows_per_key in ((1, 10**6), (40, 10**6), (40, 2)):
+        got = sample_table(events.repartition(7), embeddings, chunks, rows_per_key).select(want.columns)
         assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 

@@ -99,14 +99,23 @@ def test_distributed_gradient_is_independent_of_partitioning(train):
     assert found[0][0][0] != found[0][1][0]
 
 
-def test_partials_summed_on_executors_give_the_same(train, monkeypatch):
+def test_mini_batches_are_independent_of_partitioning(train):
     shape = Shape(15, 2)
-    rows = pack_rows(train.repartition(4), FEATURES, as_sign(LABEL))
     flat = shape.initial(0.3, 1)
-    direct = row_evaluator(rows, shape, CLASSIFICATION)([flat], 0)[0]
-    monkeypatch.setattr("clickloom.operators.fm._DIRECT_NUMBERS", 0)
-    reduced = row_evaluator(rows, shape, CLASSIFICATION)([flat], 0)[0]
-    assert reduced[0] == pytest.approx(direct[0]) and reduced[1] == pytest.approx(direct[1]) and reduced[2] == direct[2]
+    found = []
+    for parts in (3, 13):
+        rows = pack_rows(train.repartition(parts), FEATURES, as_sign(LABEL))
+        found.append(row_evaluator(rows, shape, CLASSIFICATION, fraction=0.2, seed=5)([flat], 4)[0])
+    (l1, g1, n1), (l2, g2, n2) = found
+    assert n1 == n2 and 0.1 * train.count() < n1 < 0.3 * train.count()
+    assert l1 == pytest.approx(l2) and g1 == pytest.approx(g2, abs=1e-12)
+
+
+def test_null_labels_fail(train):
+    unlabelled = train.withColumn(LABEL, F.when(F.rand(3) < 0.5, F.col(LABEL)))
+    for task in (CLASSIFICATION, REGRESSION):
+        with pytest.raises(Exception, match="is null"):
+            machine(task=task, maxIter=1).fit(unlabelled)
 
 
 def test_packing_keeps_rows_and_needs_room(spark, train):

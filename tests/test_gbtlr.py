@@ -159,3 +159,23 @@ def test_defaults():
     )
     assert {k: estimator.getOrDefault(k) for k in want} == want
     assert estimator.copy({estimator.maxDepth: 2}).getOrDefault("maxDepth") == 2
+
+
+def test_settings_of_a_fitted_model_act(fitted, inner_small):
+    _, validation = inner_small
+    model = fitted.copy()
+    assert fitted.transform(validation).filter("prediction = 1").count() > 0
+    model.setThreshold(1.0)
+    assert model.transform(validation).filter("prediction = 1").count() == 0
+    model.setThresholds([1.0, 0.0])
+    assert model.getThreshold() == 0.0
+    assert model.transform(validation).filter("prediction = 0").count() == 0
+    renamed = fitted.copy()
+    renamed._set(gbtGeneratedFeaturesCol="described")
+    assert renamed.evaluate(validation).areaUnderROC > 0.5
+
+
+def test_thresholds_and_interval_are_checked():
+    for bad in ({"thresholds": [0.0, 0.0]}, {"thresholds": [-1.0, 1.0]}, {"checkpointInterval": 0}):
+        with pytest.raises(ValueError):
+            GBTLRClassifier(**bad)

@@ -59,7 +59,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample table written out, for queries that pass over it several times."""
-    return materialise(samples(spark, sf_dir), "samples", 2 * DIM + 10)
+    return materialise(samples(spark, sf_dir), "samples")
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +127,7 @@ def q_embedding_hadamard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, validation = hash_split(samples(spark, sf_dir), "event_id")
     parts = [df.select("event_id", F.lit(n).alias("part")) for df, n in ((train, "train"), (validation, "validation"))]
-    return parts[0].unionAll(parts[1]).withColumn("bucket", hash_bucket("event_id"))
+    return parts[0].unionAll(parts[1]).withColumn("bucket", hash_bucket(parts[0], "event_id"))
 
 
 def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
