@@ -21,6 +21,11 @@ def fm_factor(i: int, f: int) -> float:
     return ((2 * i + f) % 7 - 3) / 20
 
 
+def net_weight(k: int) -> float:
+    """The k-th of a network's weights in forward checks."""
+    return ((7 * k) % 11 - 5) / 20
+
+
 # Settings of the training checks.
 FM_STEPS = 5
 FM_STEP_SIZE = 0.5

@@ -1,7 +1,8 @@
 """SQL texts (DuckDB) that give the same rows as the registered queries, from the same tables.
 
-A query without a text here is a trained model or a random sample, which SQL cannot express; those
-are covered by properties in the tests.
+Trained models have texts under settings that SQL can follow: one split, given weights, moments at the
+optimum. A query without a text is a full training run or a random sample; those are covered by
+properties in the tests.
 """
 
 from __future__ import annotations
@@ -226,6 +227,41 @@ UNION ALL """ + weight_rows("gradient", "(SELECT avg(pull) FROM pulls)").strip()
 # Widths of the inner layout: ten content types, bucket, clicks, impressions, new user, cosine.
 INNER_WIDTH = 15
 
+# The best split of three 0/1 features: the largest gain in variance, which ranks like Gini for two classes.
+STUMP = [
+    """
+flags AS (
+  SELECT event_id, label_planted AS y, CAST(is_new_user AS INT) AS f0,
+    CASE WHEN content_type < 'c5' THEN 1 ELSE 0 END AS f1, CASE WHEN user_item_click > 0 THEN 1 ELSE 0 END AS f2 FROM samples)""",
+    """
+sides AS (
+  SELECT feature, side, count(*) AS n, avg(y) AS p FROM (
+    SELECT event_id, y, unnest([0, 1, 2]) AS feature, unnest([f0, f1, f2]) AS side FROM flags) GROUP BY 1, 2)""",
+    """
+best AS (SELECT feature FROM sides GROUP BY 1 HAVING count(*) = 2 ORDER BY sum(n * p * (1 - p)), feature LIMIT 1)""",
+    """
+sided AS (
+  SELECT event_id, [f0, f1, f2][(SELECT feature FROM best) + 1] AS side FROM flags)""",
+    "leaf AS (SELECT event_id, s.side, s.p FROM sided JOIN sides s ON s.side = sided.side AND s.feature = (SELECT feature FROM best))",
+]
+
+
+def network_forward(layout: str, width: int) -> str:
+    """One hidden layer of sigmoids, then a softmax of two, with weights by rule of their place."""
+    hidden = width // 2
+    weight = "((7 * ({k})) % 11 - 5) / 20.0E0"
+    first, second = (width + 1) * hidden, (width + 1) * hidden + 2 * hidden
+    units = f"units AS (SELECT CAST(range AS INT) AS o FROM range({hidden}))"
+    layer = f"""
+layer AS (
+  SELECT event_id, o, 1.0E0 / (1.0E0 + exp(-(sum(value * {weight.format(k=f"position * {hidden} + o")}) + any_value({weight.format(k=f"{width * hidden} + o")})))) AS h
+  FROM x CROSS JOIN units GROUP BY 1, 2)"""
+    outs = f"""
+outs AS (
+  SELECT event_id, sum(h * {weight.format(k=f"{first} + 2 * o")}) + {weight.format(k=second)} AS z0,
+    sum(h * {weight.format(k=f"{first} + 2 * o + 1")}) + {weight.format(k=second + 1)} AS z1 FROM layer GROUP BY 1)"""
+    return on_samples("SELECT event_id, round(1.0E0 / (1.0E0 + exp(z0 - z1)), 6) AS ctr FROM outs", *features(layout), units, layer, outs)
+
 
 def fm_training(task: int) -> str:
     """Gradient descent from the trainer's own initial factors, one group of CTEs per step."""
@@ -373,4 +409,20 @@ FROM forward CROSS JOIN (SELECT min(item_ctr) AS low, max(item_ctr) AS high FROM
         *AREAS,
     ),
     "portable_net_score": portable_net(),
+    "random_split": on_samples("SELECT event_id, CAST(1 AS BIGINT) AS parts FROM samples"),
+    "mini_batch_whole": on_samples("SELECT event_id FROM samples"),
+    "lr_moments": on_samples(
+        "SELECT CAST(position AS INT) AS position, round(avg(label_planted * value), 3) AS moment FROM x GROUP BY 1", *features("inner")
+    ),
+    "nn_forward": network_forward("base", 142),
+    "ipnn_forward": network_forward("inner", 15),
+    "opnn_forward": network_forward("outer", 78),
+    "rf_stump_score": on_samples("SELECT event_id, round(p, 6) AS ctr FROM leaf", *STUMP),
+    "gbt_stump_score": on_samples("SELECT event_id, round(1.0E0 / (1.0E0 + exp(-2 * (2 * p - 1))), 6) AS ctr FROM leaf", *STUMP),
+    "gbtlr_stump_leaves": on_samples("SELECT event_id, CAST(side AS INT) AS leaf FROM leaf", *STUMP),
+    "gbtlr_stump_rules": on_samples("""
+SELECT CAST(0 AS INT) AS "treeID", CAST(leaf AS INT) AS leaf, concat('feature ', feature, CASE leaf WHEN 0 THEN ' <= 0.5' ELSE ' > 0.5' END) AS rule
+FROM best CROSS JOIN (VALUES (0), (1)) sides_of(leaf)""", *STUMP),
+    "gbtlr_leaf_counts": on_samples("SELECT event_id, CAST(10 AS INT) AS leaves FROM samples WHERE split_bucket >= 700"),
 }
+ORACLES["fm_saved_score"] = ORACLES["fm_score_fixed"]

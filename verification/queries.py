@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from clickloom.functions.probability import click_probability
 from clickloom.operators.features import FEATURES, feature_stages, fit_features, vector_width
 from clickloom.operators.fm import FactorizationMachine, FactorizationMachineModel, label_range, pack_rows, row_evaluator
 from clickloom.operators.fm_math import CLASSIFICATION, REGRESSION, Shape
+from clickloom.operators.gbtlr import GBTLRClassificationModel, GBTLRClassifier
 from clickloom.operators.quantiles import QuantileCuts, exact_quantiles
 from clickloom.operators.split import hash_bucket, hash_split, mini_batch, random_split
 from clickloom.operators.transformers import EmbeddingCosine, EmbeddingHadamard
@@ -43,6 +46,7 @@ from verification.fixtures import (
     SEED,
     fm_factor,
     fm_linear,
+    net_weight,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,8 +135,13 @@ def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many parts each event is in."""
     parts = random_split(samples(spark, sf_dir).select("event_id"), (0.7, 0.3), SEED)
-    return parts[0].withColumn("part", F.lit("train")).unionAll(parts[1].withColumn("part", F.lit("validation")))
+    return parts[0].unionAll(parts[1]).groupBy("event_id").agg(F.count("*").alias("parts"))
+
+
+def q_mini_batch_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mini_batch(samples(spark, sf_dir).select("event_id"), 1.0, SEED)
 
 
 def q_mini_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,6 +335,99 @@ def fm_query(task: int, label: str, **params) -> Query:
     return query
 
 
+def q_fm_saved_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed machine, saved and loaded again."""
+    df = prepared(spark, sf_dir, "inner")
+    model = FactorizationMachineModel(*fm_weights(vector_width(df)), FM_BIAS)
+    model._set(featuresCol=FEATURES, probabilityCol="probability", predictionCol="prediction")
+    path = scratch_path(spark, "machine")
+    model.write().save(path)
+    out = FactorizationMachineModel.read().load(path).transform(df)
+    return out.select("event_id", r6(click_probability()).alias("ctr"), "prediction")
+
+
+# Models under settings that SQL can follow
+
+
+def q_lr_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At its optimum a logistic regression's expected feature sums are the observed ones."""
+    df = prepared(spark, sf_dir, "inner").select("event_id", FEATURES, LABEL)
+    model = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, maxIter=500, tol=1e-14).fit(df)
+    out = model.transform(df).withColumn("ctr", click_probability())
+    values = out.select("ctr", F.posexplode(vector_to_array(FEATURES)).alias("position", "value"))
+    return values.groupBy("position").agg(F.round(F.avg(F.col("ctr") * F.col("value")), 3).alias("moment"))
+
+
+def network_query(layout: str) -> Query:
+    """A network of the registered shape with given weights and no iteration of training."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = prepared(spark, sf_dir, layout).select("event_id", FEATURES, LABEL)
+        width = vector_width(df)
+        hidden = width // 2
+        size = (width + 1) * hidden + (hidden + 1) * 2
+        network = MultilayerPerceptronClassifier(
+            featuresCol=FEATURES, labelCol=LABEL, layers=[width, hidden, 2], maxIter=0,
+            initialWeights=Vectors.dense([net_weight(k) for k in range(size)]),
+        )
+        return ctr_only(network.fit(df).transform(df).withColumn("ctr", click_probability()))
+
+    return query
+
+
+def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three features of 0 and 1, on which the best first split is plain to find."""
+    df = samples(spark, sf_dir).select(
+        "event_id", LABEL, F.col("is_new_user").cast("double").alias("f0"),
+        (F.col("content_type") < "c5").cast("double").alias("f1"), (F.col("user_item_click") > 0).cast("double").alias("f2"),
+    )
+    return materialise(VectorAssembler(inputCols=["f0", "f1", "f2"], outputCol=FEATURES).transform(df), "flags")
+
+
+def q_rf_stump_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = flags(spark, sf_dir)
+    forest = RandomForestClassifier(
+        featuresCol=FEATURES, labelCol=LABEL, numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=SEED
+    )
+    return ctr_only(forest.fit(df).transform(df).withColumn("ctr", click_probability()))
+
+
+def q_gbt_stump_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = flags(spark, sf_dir)
+    trees = GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=1, maxDepth=1, seed=SEED)
+    return ctr_only(trees.fit(df).transform(df).withColumn("ctr", click_probability()))
+
+
+def stump_gbtlr(spark: SparkSession, df: DataFrame) -> GBTLRClassificationModel:
+    """One stump and a regression on its leaves, saved and loaded again."""
+    model = GBTLRClassifier(featuresCol=FEATURES, labelCol=LABEL, gbtMaxIter=1, maxDepth=1, lrMaxIter=20, seed=SEED).fit(df)
+    path = scratch_path(spark, "gbtlr")
+    model.write().save(path)
+    return GBTLRClassificationModel.read().load(path)
+
+
+def q_gbtlr_stump_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = flags(spark, sf_dir)
+    described = stump_gbtlr(spark, df).with_leaves(df)
+    leaf = vector_to_array("gbt_generated_features")[4]
+    return described.select("event_id", leaf.cast("int").alias("leaf"))
+
+
+def q_gbtlr_stump_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stump_gbtlr(spark, flags(spark, sf_dir)).rules(spark).select("treeID", "leaf", "rule")
+
+
+def q_gbtlr_leaf_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many leaves are set for each row: one in each of the ten trees."""
+    model, validation = fitted_gbtlr(spark, sf_dir)
+    features = PipelineModel(stages=model.stages[:-1]).transform(validation)
+    width = vector_width(features)
+    described = model.stages[-1].with_leaves(features)
+    values = vector_to_array("gbt_generated_features")
+    leaves = F.slice(values, width + 1, vector_width(described, "gbt_generated_features") - width)
+    return described.select("event_id", F.aggregate(leaves, F.lit(0.0), lambda s, v: s + v).cast("int").alias("leaves"))
+
+
 # Trained models
 
 
@@ -400,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "hash_split": q_hash_split,
     "random_split": q_random_split,
     "mini_batch": q_mini_batch,
+    "mini_batch_whole": q_mini_batch_whole,
     "label_checks": q_label_checks,
     "category_index": q_category_index,
     "category_onehot": q_category_onehot,
@@ -421,6 +524,16 @@ QUERIES: dict[str, Query] = {
     "fm_gd": fm_query(CLASSIFICATION, LABEL, solver="gd", maxIter=50, stepSize=1.0, tol=0.0),
     "fm_lbfgs": fm_query(CLASSIFICATION, LABEL, solver="lbfgs", maxIter=30),
     "fm_regression": fm_query(REGRESSION, "item_ctr", solver="lbfgs", maxIter=30),
+    "fm_saved_score": q_fm_saved_score,
+    "lr_moments": q_lr_moments,
+    "nn_forward": network_query("base"),
+    "ipnn_forward": network_query("inner"),
+    "opnn_forward": network_query("outer"),
+    "rf_stump_score": q_rf_stump_score,
+    "gbt_stump_score": q_gbt_stump_score,
+    "gbtlr_stump_leaves": q_gbtlr_stump_leaves,
+    "gbtlr_stump_rules": q_gbtlr_stump_rules,
+    "gbtlr_leaf_counts": q_gbtlr_leaf_counts,
     "lr_score": model_query("lr"),
     "fm_score": model_query("fm"),
     "rf_score": model_query("rf"),
