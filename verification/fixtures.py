@@ -2,12 +2,41 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from clickloom.functions.embeddings import dot
 from clickloom.plans.portable_net import Neuron, PortableNet
+from clickloom.sources.impressions import sample_table
 
 DIM = 64
 LABEL = "label_planted"
 SEED = 17
 
+# Fixed values of the test sample: which vector an item has, and the planted label's logit.
+LAST_ITEM_VECTOR = 499
+PLANTED_BIAS, PLANTED_DOT, PLANTED_TYPE, PLANTED_NEW = -0.5, 5.0, 1.0, -1.5
+
+
+def planted_samples(events: DataFrame, embeddings: DataFrame, *cuts: int) -> DataFrame:
+    """The sample table of the test tables, with a second label that can be learned."""
+    samples = sample_table(events, embeddings, *cuts, item_of=lambda vec_id: LAST_ITEM_VECTOR - vec_id)
+    return samples.withColumn(LABEL, _planted_label())
+
+
+def _planted_label() -> Column:
+    """A coin weighted by the row's features, drawn from a hash of the row key."""
+    logit = (
+        PLANTED_BIAS
+        + PLANTED_DOT * dot(F.col("user_embedding"), F.col("item_embedding"))
+        + PLANTED_TYPE * F.when(F.col("content_type") < "c5", 1).otherwise(0)
+        + PLANTED_NEW * F.col("is_new_user")
+    )
+    prefix = F.substring(F.md5(F.col("event_id").cast("string")), 1, 8)
+    draw = F.conv(prefix, 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.when(draw < 1.0 / (1.0 + F.exp(-logit)), 1).otherwise(0)
+
+
 # Weights for scoring checks: simple functions of the position, also written out in SQL.
 FM_BIAS = 0.1
 FM_FACTORS = 2

@@ -30,7 +30,6 @@ from clickloom.plans.models import CtrModel
 from clickloom.plans.portable_net import score_portable_net
 from clickloom.plans.scoring import load_and_score, save_model, score
 from clickloom.session import cached, materialise, scratch_path, ship_package
-from clickloom.sources.impressions import sample_table
 from clickloom.sources.samples import read_samples, write_samples
 from clickloom.streaming.scoring import write_scores
 from verification.fixtures import (
@@ -47,6 +46,7 @@ from verification.fixtures import (
     fm_factor,
     fm_linear,
     net_weight,
+    planted_samples,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return sample_table(events, embeddings)
+    return planted_samples(events, embeddings)
 
 
 def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
