@@ -484,12 +484,16 @@ def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_models(train, validation, DIM, label=LABEL)
 
 
-def q_portable_net_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = EmbeddingCosine(inputCols=EMBEDDINGS, outputCol="embedding_inner_product")
-    df = stage.transform(samples(spark, sf_dir))
+def net_inputs(df: DataFrame) -> DataFrame:
+    """Samples as the exported network reads them."""
+    df = EmbeddingCosine(inputCols=EMBEDDINGS, outputCol="embedding_inner_product").transform(df)
     kind = F.when(F.col("content_type") < "c4", "movie").when(F.col("content_type") < "c8", "series")
     # The test rates are far above the network's cuts; a tenth of them spreads over the buckets.
-    inputs = df.withColumns({"content_type": kind.otherwise("other"), "item_ctr": F.col("item_ctr") / 20.0})
+    return df.withColumns({"content_type": kind.otherwise("other"), "item_ctr": F.col("item_ctr") / 20.0})
+
+
+def q_portable_net_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = net_inputs(samples(spark, sf_dir))
     return score_portable_net(NET, inputs).select("event_id", "ctr_bucket", r6("ctr").alias("ctr"))
 
 
