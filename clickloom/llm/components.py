@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.session import scratch_path
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from clickloom.llm.storage import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     pair = F.array_sort(F.array("a", "b"))
     edges = links.filter("a is not null and b is not null and a <> b").select(F.get(pair, 0).alias("low"), F.get(pair, 1).alias("high"))
-    edges = _stored(edges.distinct(), "links")
+    edges = stored(edges.distinct(), "links")
     while True:
         # Larger neighbours of each node go to its smallest neighbour, or itself if that is smaller.
         both = edges.select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(edges.select(F.col("high").alias("u"), F.col("low").alias("v")))
@@ -35,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(first, "high")
         small = joined.select(F.col("m").alias("low"), F.col("low").alias("high")).filter("low <> high")
         small = small.unionByName(first.select(F.col("m").alias("low"), "high")).distinct()
-        small = _stored(small, "links")
+        small = stored(small, "links")
         same = _digest(small) == _digest(edges)
         edges = small
         if same:

@@ -13,19 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.session import scratch_path
+from clickloom.llm.storage import small, stored
 
 LEAST_CHARS = 30
 _PLACE = ["doc", "text_hash", "pos"]
 _DOC = ["doc", "text_hash"]
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _lines(text: str = "text") -> Column:
     return F.split(F.col(text), "\n", -1)
 
@@ -33,7 +27,8 @@ def _lines(text: str = "text") -> Column:
 def _keyed(docs: DataFrame) -> DataFrame:
     """Documents by their place in the order: by id, those without id last, then by the text's hash."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc.alias("doc"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("own_text"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(others.alias("row"), doc.alias("doc"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("own_text"))
 
 
 def _ranked(suffixes: DataFrame, by: list[str]) -> DataFrame:
@@ -58,7 +53,7 @@ def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     lines = keyed.select(*_DOC, line).select(
         *_PLACE, F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), F.length("line").alias("chars")
     )
-    level = _stored(_ranked(_stored(lines, "lines"), ["id", "id2"]), "suffixes")
+    level = stored(_ranked(stored(lines, "lines"), ["id", "id2"]), "suffixes")
     size, found = 1, []
     along = W.partitionBy(*_DOC).orderBy("pos")
     while not level.isEmpty():
@@ -69,7 +64,7 @@ def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
         found.append(covered.drop("stretch"))
         there = along.rangeBetween(size, size)
         pairs = level.select(*_PLACE, "rank", F.min("rank").over(there).alias("next"), (F.col("chars") + F.min("chars").over(there)).alias("chars"))
-        level = _stored(_ranked(pairs.filter("next is not null"), ["rank", "next"]), "suffixes")
+        level = stored(_ranked(pairs.filter("next is not null"), ["rank", "next"]), "suffixes")
         size *= 2
     every = found[0] if found else lines.select(*_DOC, F.col("pos").alias("from"), F.col("pos").alias("to")).limit(0)
     for more in found[1:]:
@@ -80,7 +75,7 @@ def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     begins = every.select(*_DOC, "from", "to", F.coalesce((F.col("from") > reach), F.lit(True)).cast("int").alias("new"))
     grouped = begins.withColumn("run", F.sum("new").over(inner.rowsBetween(W.unboundedPreceding, 0)))
     runs = grouped.groupBy(*_DOC, "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
-    return _stored(runs.groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs")), "runs")
+    return stored(runs.groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs")), "runs")
 
 
 def delete_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -98,7 +93,7 @@ def delete_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> Da
     """
     docs = docs.drop("n_lines", "n_removed")
     runs = repeated_runs(docs, least_chars)
-    joined = _keyed(docs).join(runs, _DOC, "left").withColumn("lines", _lines("own_text"))
+    joined = _keyed(docs).join(small(runs, "runs"), _DOC, "left").withColumn("lines", _lines("own_text"))
     n = F.size("lines")
     # Between two runs, and before the first and after the last, lines stay.
     begin = lambda i: F.when(i == 0, 0).otherwise(F.get("runs", i - 1)["to"])

@@ -20,27 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickloom.llm.storage import small, stored
 from clickloom.llm.texts import mix, slices, span_hashes, utf8, window_hashes, word_spans
-from clickloom.session import scratch_path, ship_package
+from clickloom.session import ship_package
 
 WINDOW = 50
-BROADCAST_ROWS = 300_000
 # Later documents that share an automaton of a first document in one group of a task.
 DOCS_PER_GROUP = 128
 _KEY = ["doc_id", "text_hash"]
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """A table of a counted size, to be sent to all executors up to a bound; a larger one is shuffled."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     data, bounds = utf8(column)
     for low, high in slices(bounds):
@@ -171,16 +160,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     sketches = texts.mapInArrow(sketch, "doc_id long, text_hash long, n_words int, seq1 long, seq2 long, anchors array<long>")
-    sketches = _stored(sketches.filter(F.col("n_words") >= window), "sketches")
+    sketches = stored(sketches.filter(F.col("n_words") >= window), "sketches")
     # Of documents with the same words the first stands for all; the others go as a whole.
     whole = ["seq1", "seq2", "n_words"]
-    firsts = _stored(sketches.groupBy(*whole).agg(F.min("doc_id").alias("first")), "firsts")
+    firsts = stored(sketches.groupBy(*whole).agg(F.min("doc_id").alias("first")), "firsts")
     placed = sketches.join(firsts, whole)
     copies = placed.filter("doc_id > first").select(*_KEY, F.array(F.struct(F.lit(0).alias("from"), F.col("n_words").alias("to"))).alias("spans"))
     anchors = placed.filter("doc_id = first").select(*_KEY, F.explode("anchors").alias("anchor"))
     recurring = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
-    lists = _stored(anchors.join(recurring, "anchor").groupBy(*_KEY).agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    candidates = _stored(texts.join(_small(lists.select(*_KEY)), _KEY, "left_semi").join(lists, _KEY), "candidates")
+    lists = stored(anchors.join(recurring, "anchor").groupBy(*_KEY).agg(F.collect_set("anchor").alias("anchors")), "anchors")
+    candidates = stored(texts.join(small(lists.select(*_KEY)), _KEY, "left_semi").join(lists, _KEY), "candidates")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,12 +182,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*keys, pa.array(at.astype(np.int32)), pa.array(one), pa.array(two)], [*_KEY, "pos", "one", "two"])
 
     shown = candidates.mapInArrow(windows, "doc_id long, text_hash long, pos int, one long, two long")
-    shown = _stored(shown, "windows")
+    shown = stored(shown, "windows")
     place = F.struct(*_KEY, "pos")
     confirmed = shown.groupBy("one", "two").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).filter("first.doc_id < last")
-    confirmed = _stored(confirmed.select("one", "two", F.col("first.doc_id").alias("source"), F.col("first.text_hash").alias("source_hash"), F.col("first.pos").alias("at")), "confirmed")
+    confirmed = stored(confirmed.select("one", "two", F.col("first.doc_id").alias("source"), F.col("first.text_hash").alias("source_hash"), F.col("first.pos").alias("at")), "confirmed")
     pairs = shown.join(confirmed.select("one", "two", "source", "source_hash"), ["one", "two"]).filter("doc_id > source").select(*_KEY, "source", "source_hash").distinct()
-    pairs = _stored(pairs, "pairs")
+    pairs = stored(pairs, "pairs")
     # Window starts of each first document that recur, as ranges.
     along = W.partitionBy("source", "source_hash").orderBy("at")
     ranges = confirmed.select("source", "source_hash", "at", (F.col("at") - F.row_number().over(along)).alias("stretch"))
@@ -207,7 +196,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Each first document's automaton serves groups of later documents, so that a frequent passage is many groups.
     later = pairs.join(candidates.select(*_KEY, "text"), _KEY)
     groups = pairs.groupBy("source", "source_hash").agg(F.ceil(F.count("*") / DOCS_PER_GROUP).cast("int").alias("n_groups"))
-    groups = _stored(groups, "groups")
+    groups = stored(groups, "groups")
     later = later.join(groups, ["source", "source_hash"]).select(
         "source", "source_hash", F.pmod(F.xxhash64(*_KEY), F.col("n_groups")).cast("int").alias("part"), F.lit(1).alias("kind"), *_KEY, "text",
         F.array().cast("array<struct<from:int,to:int>>").alias("ranges"),
@@ -244,7 +233,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             rows = [[{"from": a, "to": b} for a, b in merged([(s["from"], s["to"]) for s in spans])] for spans in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, batch.column(2).type)], [*_KEY, "spans"])
 
-    return _stored(gathered.mapInArrow(unite, f"doc_id long, text_hash long, spans {kind}"), "spans")
+    return stored(gathered.mapInArrow(unite, f"doc_id long, text_hash long, spans {kind}"), "spans")
 
 
 def delete_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -259,7 +248,7 @@ def delete_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     docs = docs.drop("n_words", "n_removed")
     spans = repeated_spans(docs, window).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
-    joined = docs.join(_small(spans), (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")
+    joined = docs.join(small(spans, "__spans"), (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")
 
     @F.arrow_udf("string")
     def cut(text: pa.Array, found: pa.Array) -> pa.Array:

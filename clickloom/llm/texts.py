@@ -56,7 +56,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(bounds: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(bounds: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` bytes together; a longer row is a range of its own."""
     row, rows = 0, len(bounds) - 1
     while row < rows:
