@@ -21,19 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import components
-from clickloom.llm.texts import LOWER, mix, slices, span_hashes, utf8, window_hashes, word_spans
-from clickloom.session import scratch_path, ship_package
+from clickloom.llm.storage import small, stored
+from clickloom.llm.texts import LOWER, give_back, mix, slices, span_hashes, utf8, window_hashes, word_spans
+from clickloom.session import ship_package
 
-BANDS, ROWS = 48, 5
-BATCH = 24
-BROADCAST_IDS = 500_000
-_BLOCK = 2048
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+BANDS, ROWS = 80, 8
+BATCH = 64
+# Of so many components one bit each is compared where candidates meet.
+BITS = 128
+_CELLS = 1 << 17
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -61,19 +57,22 @@ def signature(shingles: np.ndarray, n: int) -> np.ndarray:
     flip, factor = _functions(n)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(n, 0xFFFFFFFF, np.uint32)
-    for low in range(0, len(short), _BLOCK):
-        values = (short[None, low : low + _BLOCK] ^ flip) * factor
+    step = max(1, _CELLS // n)
+    for low in range(0, len(short), step):
+        values = (short[None, low : low + step] ^ flip) * factor
         np.minimum(least, values.min(axis=1), out=least)
     return least
 
 
-def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH) -> list[tuple[int, int]]:
+def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, values: int = 256) -> list[tuple[int, int]]:
     """After how many compared components how many have to agree, for the pair to go on.
 
-    With a uniform prior, the posterior of the similarity is a beta distribution, and the chance
-    that it reaches the threshold is a binomial tail.
+    Components of ``values`` values agree by chance as well. With a uniform prior, the posterior of
+    the rate of agreement is a beta distribution, and the chance that it reaches the rate at the
+    threshold is a binomial tail.
     """
     rules = []
+    threshold += (1 - threshold) / values
     for seen in [*range(batch, n, batch), n]:
         tail, agree = 0.0, 0
         while agree <= seen:
@@ -98,7 +97,7 @@ def component_ids(
     row gets the same result each time. Other columns are not read.
 
     Exact copies are linked by their sets' hash before all else. A linked pair is no candidate with
-    probability ``(1 - s ** rows) ** bands`` at similarity s (5e-9 at 0.8), and is dropped early with ``miss``.
+    probability ``(1 - s ** rows) ** bands`` at similarity s (4e-7 at 0.8), and is dropped early with ``miss``.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -106,7 +105,7 @@ def component_ids(
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, keys, codes = [], [], [], [], []
+            sizes, one, two, keys, codes, bits = [], [], [], [], [], []
             for shingles in shingle_sets(batch.column(1), words):
                 sizes.append(len(shingles))
                 one.append(int(np.bitwise_xor.reduce(shingles)) if len(shingles) else 0)
@@ -118,36 +117,40 @@ def component_ids(
                     for c in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + banded[:, c])
                     keys.append(key.view(np.int64))
-                    codes.append((least >> np.uint32(16)).astype(np.uint16).tobytes())
+                    codes.append((least >> np.uint32(24)).astype(np.uint8).tobytes())
+                    bits.append(np.packbits((least[:BITS] >> np.uint32(20)).astype(np.uint8) & 1).view(np.int64))
                 else:
                     keys.append(np.empty(0, np.int64))
                     codes.append(b"")
+                    bits.append(np.zeros(BITS // 64, np.int64))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(codes, pa.binary())],
-                ["doc_id", "n_shingles", "set1", "set2", "keys", "code"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(codes, pa.binary()), pa.array([b.tolist() for b in bits], pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set1", "set2", "keys", "code", "bits"],
             )
+            give_back()
 
     own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    sketches = _stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, code binary"), "sketches")
+    sketches = stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, code binary, bits array<long>"), "sketches")
     identity = ["set1", "set2", "n_shingles"]
     placed = sketches.filter("doc_id is not null and n_shingles > 0")
     # Of the documents with one and the same set, the smallest id stands for all.
-    sets = _stored(placed.groupBy(*identity).agg(F.min("doc_id").alias("rep")), "sets")
+    sets = stored(placed.groupBy(*identity).agg(F.min("doc_id").alias("rep")), "sets")
     reps = placed.join(sets, identity).filter("doc_id = rep")
     member = reps.select(F.explode("keys").alias("bucket"), "rep")
+    traits = stored(reps.select("rep", F.col("n_shingles").alias("n"), "bits"), "traits")
     centers = member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).filter("center <> last")
-    shared = _stored(member.join(centers.select("bucket", "center"), "bucket"), "buckets")
-    codes = _stored(reps.select("rep", "code"), "codes")
+    shared = stored(member.join(centers.select("bucket", "center"), "bucket"), "buckets")
+    codes = stored(reps.select("rep", "code"), "codes")
 
     rules = least_matches(threshold / 100, miss, n)
     texts = own.filter("doc_id is not null")
 
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, n) for c in (2, 3))
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, n) for c in (2, 3))
             going, agree, seen = np.arange(len(batch)), np.zeros(len(batch), np.int64), 0
             for upto, least in rules:
                 agree = agree + (left[going, seen:upto] == right[going, seen:upto]).sum(axis=1)
@@ -168,29 +171,33 @@ def component_ids(
         """Pairs ``a``, ``b`` of representatives whose full sets are similar enough."""
         coded = pairs.join(codes.select(F.col("rep").alias("a"), F.col("code").alias("code_a")), "a")
         coded = coded.join(codes.select(F.col("rep").alias("b"), F.col("code").alias("code_b")), "b")
-        left = _stored(coded.select("a", "b", "code_a", "code_b").mapInArrow(promising, "a long, b long"), "promising")
-        ids = _stored(left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct(), "ids")
-        # Up to this many ids go to the documents; more of them meet the documents in a shuffle.
-        named = _stored(texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id"), "texts")
+        left = stored(coded.select("a", "b", "code_a", "code_b").mapInArrow(promising, "a long, b long"), "promising")
+        ids = stored(left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct(), "ids")
+        named = stored(texts.join(small(ids), "doc_id"), "texts")
         whole = left.join(named.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         whole = whole.join(named.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        return _stored(whole.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), "confirmed")
+        return stored(whole.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), "confirmed")
 
     # Copies of a set under several ids of which one stands for two sets connect those.
     copies = placed.join(sets, identity).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     stars = confirmed(shared.filter("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct())
     labels = components(stars)
-    # Buckets whose members are still in different components: those of each pair of components meet.
+    # Buckets whose members are still in different components: those of each pair of components meet,
+    # as far as their sizes and one-bit signatures let them reach the threshold.
     labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
-    open_members = _stored(labelled.join(mixed, "bucket"), "mixed")
-    groups = open_members.select("bucket", "label").distinct()
-    meet = groups.select("bucket", F.col("label").alias("label_a")).join(groups.select("bucket", F.col("label").alias("label_b")), "bucket").filter("label_a < label_b")
-    one = open_members.select("bucket", F.col("label").alias("label_a"), F.col("rep").alias("a"))
-    other = open_members.select("bucket", F.col("label").alias("label_b"), F.col("rep").alias("b"))
-    across = meet.join(one, ["bucket", "label_a"]).join(other, ["bucket", "label_b"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    open_members = stored(labelled.join(mixed, "bucket").join(traits, "rep"), "mixed")
+    sizes = open_members.groupBy("bucket", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    one, other = (sizes.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "low", "high")]) for side in "ab")
+    in_reach = f"label_a < label_b and 100 * high_a >= {threshold} * low_b and 100 * high_b >= {threshold} * low_a"
+    meet = one.join(other, "bucket").filter(in_reach).select("bucket", "label_a", "label_b")
+    one, other = (open_members.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "rep", "n", "bits")]) for side in "ab")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
+    near = (100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (apart <= BITS - least_matches(threshold / 100, miss, BITS, BITS, 2)[0][1])
+    met = meet.join(one, ["bucket", "label_a"]).join(other, ["bucket", "label_b"]).filter(near)
+    across = met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
     crossing = confirmed(across)
-    final = _stored(components(stars.unionByName(crossing).unionByName(copies)), "components")
+    final = stored(components(stars.unionByName(crossing).unionByName(copies)), "components")
     found = sketches.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

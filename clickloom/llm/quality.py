@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.texts import LOWER, SEPARATOR, mix, slices, span_hashes, utf8
+from clickloom.llm.texts import LOWER, SEPARATOR, give_back, mix, slices, span_hashes, utf8
 from clickloom.session import scratch_path, ship_package
 
 BUCKETS = 1 << 14
-# What the fit takes of the labelled rows at most, those of the smallest id hash; a fifth of it calibrates.
+# What the fit takes of the labelled rows at most, those of the smallest id hash; a fifth
+# of the good ones, and the bad ones, calibrate.
 LABELLED_ROWS = 40_000
 _REPEAT = np.uint64(0x5851F42D4C957F2D)
 
@@ -80,7 +81,9 @@ def log_weight(model: QualityModel, text: Column | str) -> Column:
             sums = np.concatenate([[0.0], np.cumsum(model.log_ratio[grams])])
             # Sums of whole units of 2**-30 are exact, so a text's weight doesn't depend on its batch.
             out.append((sums[first[1:]] - sums[first[:-1]]) / np.maximum(first[1:] - first[:-1], 1))
-        return pa.array(np.concatenate(out) if out else np.empty(0))
+        weights = pa.array(np.concatenate(out) if out else np.empty(0))
+        give_back()
+        return weights
 
     return weigh(text)
 
@@ -119,6 +122,7 @@ def fit(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> QualityMo
                 totals[0] += np.bincount(grams, minlength=buckets)
                 chosen = np.repeat(good[low:high], np.diff(first))
                 totals[1] += np.bincount(grams[chosen], minlength=buckets)
+        give_back()
         at = np.flatnonzero(totals[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals[0, at]), pa.array(totals[1, at])], ["bucket", "raw", "target"])
 
@@ -196,8 +200,8 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, temperatu
     """The fitted resampling, and ``doc_id``, ``log_weight``, ``sample_key``, ``kept`` for each row of ``docs``.
 
     ``k`` documents are kept by Gumbel top-k. Without ``k``, it is the number of documents whose log weight
-    reaches the threshold that parts good from bad labelled rows best, on the fifth of the labelled
-    sample that the model isn't fitted to. Equal keys (repeated rows) stand or fall together, so there
+    reaches the threshold that parts good from bad labelled rows best, without the good ones that the
+    model is fitted to. Equal keys (repeated rows) stand or fall together, so there
     may be as many more. Null and empty texts have log weight 0; a null ``doc_id`` stays null and has a
     key like any other; without bad labelled rows all rows are kept. Columns but ``doc_id`` and ``text``
     are not read. The weights are written to the shared folder once.
@@ -214,7 +218,8 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, temperatu
     weighted.select("*", key.alias("sample_key")).write.parquet(path)
     stored = spark.read.parquet(path)
     if k is None:
-        held = stored.filter("__good is not null and not __fit").select("log_weight", "__good").toPandas()
+        # Good rows that the model isn't fitted to, and bad ones, to none of which it is.
+        held = stored.filter("__good is not null and not (__good and __fit)").select("log_weight", "__good").toPandas()
         model = QualityModel(model.log_ratio, best_threshold(held["log_weight"].to_numpy(float), held["__good"].to_numpy(bool)))
         k = stored.filter(F.col("log_weight") >= F.lit(model.threshold)).count()
     fitted = Resample(model, temperature, seed, kth_largest(stored, "sample_key", k))

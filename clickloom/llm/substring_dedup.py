@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import small, stored
-from clickloom.llm.texts import mix, slices, span_hashes, utf8, window_hashes, word_spans
+from clickloom.llm.texts import give_back, mix, slices, span_hashes, utf8, window_hashes, word_spans
 from clickloom.session import ship_package
 
 WINDOW = 50
@@ -158,6 +158,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(anchors) if anchors else np.empty(0, np.int64)))],
                 [*_KEY, "n_words", "seq1", "seq2", "anchors"],
             )
+            give_back()
 
     sketches = texts.mapInArrow(sketch, "doc_id long, text_hash long, n_words int, seq1 long, seq2 long, anchors array<long>")
     sketches = stored(sketches.filter(F.col("n_words") >= window), "sketches")

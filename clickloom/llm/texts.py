@@ -6,7 +6,9 @@ that a batch is hashed with a few numpy calls and no Python string is made.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +122,14 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
         factor = np.uint64(pow(_BASE, width, 1 << 64))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker waits for its next task with what it has
+    taken, beside the executor that then needs it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Memo(dict):
     """Keeps results of ``make`` by key, and starts anew when it holds ``limit`` of them."""
 
