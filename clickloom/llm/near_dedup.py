@@ -4,8 +4,8 @@ Candidates are documents that agree in a band of their MinHash signatures. Their
 compared batch by batch, and a pair is dropped as soon as the posterior chance that its similarity
 reaches the threshold is below the miss probability. What survives is confirmed on the full sets.
 
-Pairs are never made within a bucket. Each member is held against the bucket's smallest one; what
-that links falls into components. Then only members of different components in a bucket are left to
+Pairs are never made within a bucket. Each member is held against the bucket's smallest one and the
+one that meets most others; what that links falls into components. Then only members of different components in a bucket are left to
 compare, so that every candidate is either compared or already connected.
 """
 
@@ -141,8 +141,12 @@ def component_ids(
     reps = placed.join(sets, identity).filter("doc_id = rep")
     member = reps.select(F.explode("keys").alias("bucket"), "rep")
     traits = stored(reps.select("rep", F.col("n_shingles").alias("n"), "bits"), "traits")
-    centers = member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).filter("center <> last")
-    shared = stored(member.join(centers.select("bucket", "center"), "bucket"), "buckets")
+    centers = member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"), F.count("*").alias("held")).filter("center <> last")
+    shared = stored(member.join(centers.drop("last"), "bucket"), "buckets")
+    # The text that others were copied from meets more of them than they meet each other, so the member
+    # that meets most links most.
+    meetings = stored(shared.groupBy("rep").agg(F.sum("held").alias("meets")), "meetings")
+    hubs = shared.join(meetings, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("meets", F.bitwise_not("rep"))).alias("hub"))
     codes = stored(reps.select("rep", "code"), "codes")
 
     rules = least_matches(threshold / 100, miss, n)
@@ -180,7 +184,10 @@ def component_ids(
 
     # Copies of a set under several ids of which one stands for two sets connect those.
     copies = placed.join(sets, identity).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    stars = confirmed(shared.filter("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct())
+    to_first = shared.select(F.col("center").alias("other"), "rep")
+    to_hub = shared.join(hubs, "bucket").select(F.col("hub").alias("other"), "rep")
+    rays = to_first.unionByName(to_hub).filter("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
+    stars = confirmed(rays.distinct())
     labels = components(stars)
     # Buckets whose members are still in different components: those of each pair of components meet,
     # as far as their sizes and one-bit signatures let them reach the threshold.
