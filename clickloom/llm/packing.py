@@ -25,10 +25,10 @@ from clickloom.session import scratch_path, ship_package
 ITEMS_PER_TASK = 20_000
 # A round is worth while if it saves this part of the bins it was given.
 LEAST_SAVED = 0.005
-_LETTERS = re.compile(r"[a-z]+\Z").match
-# A word between marks. Apostrophes are left out, since some words begin with one.
-_CORE = re.compile(r"([^\s\w']*)(\w+)([^\s\w']*)\Z", re.ASCII).match
-_CHUNKS_KEPT, _WORDS_KEPT = 250_000, 500_000
+# A word between ASCII marks. Apostrophes are left out, since some words begin with one.
+_MARKS = r"([!-&(-/:-@\[-`{-~]*)"
+_CORE = re.compile(_MARKS + r"(\w+)" + _MARKS + r"\Z").match
+_CHUNKS_KEPT, _WORDS_KEPT = 350_000, 500_000
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -170,46 +170,55 @@ def id_encoder(path: str):
     words: dict[str, bytes] = {}
 
     def core(chunk: str):
-        """A chunk's lower-case word of ASCII letters and the marks around it, if that is all it has."""
-        if not chunk.isascii() or any(token in chunk for token in special):
-            return None
-        found = _CORE(chunk.lower())
-        return found.groups() if found and _LETTERS(found[2]) else None
+        """The word of letters in a chunk and the marks before and after it, if that is all it has."""
+        if chunk.isalpha():
+            return "", chunk.lower() if chunk.isascii() else chunk, ""
+        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+            return "", chunk[:-1].lower() if chunk.isascii() else chunk[:-1], chunk[-1]
+        for token in special:
+            if token in chunk:
+                return None
+        found = _CORE(chunk.lower() if chunk.isascii() else chunk)
+        return found.groups() if found and found[2].isalpha() else None
 
     def learn(missing: list[str]) -> None:
-        """Encode words of letters only, many in one call: each of them ends with an end-of-word token."""
+        """Encode words of letters, many in one call: each of them ends with an end-of-word token."""
         if len(words) + len(missing) > _WORDS_KEPT:
             words.clear()
         for k in range(0, len(missing), 2000):
             part = missing[k : k + 2000]
             together = ids(" ".join(part))
             cuts = np.flatnonzero(ends[together]) + 1
-            if len(cuts) != len(part):
-                raise ValueError("this vocabulary doesn't end every word by an end-of-word token")
+            if len(cuts) != len(part):  # some letter's lower case isn't a letter
+                words.update((word, ids(word).tobytes()) for word in part)
+                continue
             data, start = together.tobytes(), 0
             for word, cut in zip(part, (cuts * 4).tolist()):
                 words[word] = data[start:cut]
                 start = cut
 
-    def of_chunk(chunk: str) -> bytes:
-        if found := core(chunk):
-            head, word, tail = found
-            data = words.get(word)
-            if data is None:
-                learn([word])
-                data = words[word]
-            return (marks[head] if head else b"") + data + (marks[tail] if tail else b"")
-        return ids(chunk).tobytes()
+    def put_together(chunk: str, found: tuple[str, str, str] | None) -> bytes:
+        if not found:
+            return ids(chunk).tobytes()
+        head, word, tail = found
+        if word not in words:
+            learn([word])
+        data = words[word]
+        if head:
+            data = marks[head] + data
+        return data + marks[tail] if tail else data
 
     marks = Memo(lambda mark: ids(mark).tobytes(), 10_000)
-    chunks = Memo(of_chunk, _CHUNKS_KEPT)
+    chunks = Memo(lambda chunk: put_together(chunk, core(chunk)), _CHUNKS_KEPT)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         # White space never lies within a token, so that a text's ids are those of its chunks in order.
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        unseen = set().union(*split).difference(chunks)
-        cores = {found[1] for found in map(core, unseen) if found}
-        learn(list(cores.difference(words)))
+        unseen = {chunk: core(chunk) for chunk in set().union(*split).difference(chunks)}
+        learn(list({found[1] for found in unseen.values() if found}.difference(words)))
+        if len(chunks) + len(unseen) > _CHUNKS_KEPT:
+            chunks.clear()
+        chunks.update((chunk, put_together(chunk, found)) for chunk, found in unseen.items())
         return (b"".join(map(chunks.__getitem__, row)) for row in split)
 
     return encode
