@@ -9,8 +9,8 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -43,39 +43,58 @@ def pair_ranks(path: str) -> dict[int, int]:
 
 def fold_merges(symbols: list[int], pairs: dict[int, int]) -> list[int]:
     """Symbols after all merges, lowest rank first, leftmost first among equals."""
-    get, none = pairs.get, 1 << 62
-    while len(symbols) > 1:
-        ranked = [get(a << _ID | b, none) for a, b in zip(symbols, symbols[1:])]
+    get, none, last = pairs.get, 1 << 62, (1 << _ID) - 1
+    ranked = [get(a << _ID | b, none) for a, b in zip(symbols, symbols[1:])]
+    while ranked:
         low = min(ranked)
         if low == none:
             break
         i = ranked.index(low)
-        symbols[i : i + 2] = [low & (1 << _ID) - 1]
+        symbols[i] = merged = low & last
+        del symbols[i + 1], ranked[i]
+        # Only the pairs beside the merged one have changed.
+        if i < len(ranked):
+            ranked[i] = get(merged << _ID | symbols[i + 1], none)
+        if i:
+            ranked[i - 1] = get(symbols[i - 1] << _ID | merged, none)
     return symbols
 
 
 class Codec:
-    """Encodes texts with a rank file and decodes ids."""
+    """Encodes texts with a rank file and decodes ids. Ids travel as bytes of 32-bit integers."""
 
     def __init__(self, path: str, pattern: str):
-        ranks, self.pairs = read_ranks(path), pair_ranks(path)
-        self.ranks, self.of_byte = ranks, [ranks[bytes([b])] for b in range(256)]
-        self.pieces = {rank: piece for piece, rank in ranks.items()}
-        self.encode = PieceTokens(pattern, self.of_word, lambda parts: tuple(chain.from_iterable(parts))).of_text
-
-    def of_word(self, word: str) -> tuple[int, ...]:
+        self.ranks, self.pairs = read_ranks(path), pair_ranks(path)
+        self.of_byte = [self.ranks[bytes([b])] for b in range(256)]
+        size = max(self.ranks.values()) + 1
+        self.packed = [np.int32(i).tobytes() for i in range(size)]
+        pieces = [b""] * size
+        for piece, rank in self.ranks.items():
+            pieces[rank] = piece
+        self.lengths = np.array([len(piece) for piece in pieces])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.encode = PieceTokens(pattern, self.of_word, b"".join).of_text
+
+    def of_word(self, word: str) -> bytes:
         data = word.encode()
         whole = self.ranks.get(data)
         if whole is not None:
-            return (whole,)
+            return self.packed[whole]
         symbols = [self.of_byte[b] for b in data]
         if len(symbols) <= FOLDED_BYTES:
-            return tuple(fold_merges(symbols, self.pairs))
-        merge_word(symbols, self.pairs)
-        return tuple(s for s in symbols if s >= 0)
+            fold_merges(symbols, self.pairs)
+        else:
+            merge_word(symbols, self.pairs)
+        return b"".join([self.packed[s] for s in symbols if s >= 0])
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        lengths = self.lengths[ids]
+        if not lengths.all():
+            raise ValueError("there is an id outside the vocabulary")
+        ends = np.cumsum(lengths)
+        n = int(ends[-1]) if len(ends) else 0
+        return self.data[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(n)].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -95,12 +114,14 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
-                ids = [own.encode(text.as_py() or "") for text in part.column(1)]
-                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
+            for start in range(0, len(batch), 100):
+                part = batch.slice(start, 100)
+                rows = [own.encode(text.as_py() or "") for text in part.column(1)]
+                ends = np.cumsum([0, *map(len, rows)]) // 4
+                ids = np.frombuffer(b"".join(rows), np.int32)
+                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
                 if decoded:
-                    columns.append(pa.array(map(own.decode, ids), pa.binary()))
+                    columns.append(pa.array([own.decode(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
     schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
@@ -118,7 +139,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in batches:
             rows = batch.column(1).to_pylist()
-            out = [None if ids is None or None in ids else own.decode(ids) for ids in rows]
+            out = [None if ids is None or None in ids else own.decode(np.array(ids, np.int64)) for ids in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "decoded"])
 
     return encoded.selectExpr("cast(doc_id as long) doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")

@@ -14,7 +14,7 @@ import regex
 from clickloom.llm.texts import Memo
 
 _SPACE_BY_SPACE = regex.compile(r" \s|\s ")
-PIECES_KEPT, WORDS_KEPT = 200_000, 300_000
+PIECES_KEPT, WORDS_KEPT = 150_000, 500_000
 
 
 def white_space_pattern(pattern: str) -> regex.Pattern:
@@ -33,7 +33,15 @@ class PieceTokens:
         self.find = white_space_pattern(pattern).findall
         self.join = join
         self.words = Memo(of_word, WORDS_KEPT)
-        self.pieces = Memo(lambda piece: join(map(self.words.__getitem__, self.find(piece))), PIECES_KEPT)
+        self.pieces = Memo(self._of_piece, PIECES_KEPT)
+
+    def _of_piece(self, piece: str):
+        of_word, word = self.words.__getitem__, piece.removeprefix(" ")
+        if word.isalpha():  # letters alone are one match
+            return of_word(piece)
+        if word[:-1].isalpha() and word[-1] in ".,":
+            return self.join((of_word(piece[:-1]), of_word(piece[-1])))
+        return self.join(map(of_word, self.find(piece)))
 
     def of_text(self, text: str):
         if _SPACE_BY_SPACE.search(text):
