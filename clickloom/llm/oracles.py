@@ -108,4 +108,24 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 )
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8, "op9_substring_dedup": OP9}
+# A control string, or an escaped one, gets one more tilde.
+_ESCAPED = "regexp_replace({}, '([\\[<])(~*)(/?(?:INST|SYS|ROLE)\\]|:\\]|/?s>)', '\\1~\\2\\3', 'g')"
+
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+), s AS (
+  SELECT *, length({_ESCAPED.format("text")}) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 WHEN 'system' THEN 13
+    ELSE 17 + length({_ESCAPED.format("role")}) END AS shown
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(shown) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8, "op9_substring_dedup": OP9, "op13_chat_format": OP13}
