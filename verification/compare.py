@@ -44,7 +44,9 @@ def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def ordered(df: pd.DataFrame) -> pd.DataFrame:
     columns = sorted(df.columns)
-    return df[columns].sort_values(columns).reset_index(drop=True)
+    # Whole numbers with nulls come as Int64 from one side and as doubles from the other.
+    nullable = {c: "float64" if df[c].hasnans else df[c].dtype.name.lower() for c in columns if df[c].dtype.name in ("Int32", "Int64")}
+    return df[columns].astype(nullable).sort_values(columns).reset_index(drop=True)
 
 
 def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> str:
@@ -57,7 +59,8 @@ def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> str:
     kinds = [f"{c}: {a[c].dtype} against {b[c].dtype}" for c in a.columns if a[c].dtype.kind != b[c].dtype.kind]
     if kinds:
         return "; ".join(kinds)
-    wrong = [f"{c}: {int((a[c] != b[c]).sum())} rows" for c in a.columns if not (a[c] == b[c]).all()]
+    apart = {c: (a[c] != b[c]) & ~(a[c].isna() & b[c].isna()) for c in a.columns}
+    wrong = [f"{c}: {int(rows.sum())} rows" for c, rows in apart.items() if rows.any()]
     return "; ".join(wrong)
 
 
