@@ -108,6 +108,43 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 )
 
+# CRC-32 of a decimal number: a byte is mixed in, then eight steps of one bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS own, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.pos > c.h
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth, md5(role) || md5(text) AS turn, length(text) AS chars FROM r
+), paths AS MATERIALIZED (
+  SELECT conv_id, depth, chars, md5(string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), linked AS (
+  SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM paths
+), nodes AS MATERIALIZED (
+  SELECT depth, key, min(conv_id) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS own,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM linked GROUP BY depth, key
+), children AS (SELECT depth - 1 AS depth, parent AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+described AS (SELECT a.*, coalesce(b.n, 0) AS n_children FROM nodes a LEFT JOIN children b USING (depth, key)),
+below AS (
+  SELECT p.depth, p.key, sum(x.own) AS saved, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM described x JOIN paths p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY 1, 2
+)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM described a JOIN below b USING (depth, key) LEFT JOIN nodes p ON p.depth = a.depth - 1 AND p.key = a.parent
+"""
+
 # A control string, or an escaped one, gets one more tilde.
 _ESCAPED = "regexp_replace({}, '([\\[<])(~*)(/?(?:INST|SYS|ROLE)\\]|:\\]|/?s>)', '\\1~\\2\\3', 'g')"
 
@@ -128,4 +165,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8, "op9_substring_dedup": OP9, "op13_chat_format": OP13}
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3, "op6_line_dedup": OP6, "op8_near_dedup": OP8, "op9_substring_dedup": OP9, "op11_prefix_trie": OP11, "op13_chat_format": OP13}
