@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over whole texts, by diagonal run skipping.
 
 Both token sequences are given by the byte offsets at which tokens end. At places i and j with the
-shift j - i, stretches of 1, 2, 4, ... ends are compared as a whole: as long as they are equal, the
+shift j - i, stretches of 4, 8, 16, ... ends are compared as a whole: as long as they are equal, the
 tokens of the stretch correspond one to one and are jumped over. Where they differ, the tokens of the
 irregular group are walked until both end together, and the shift is that of the places reached.
 
@@ -13,25 +13,30 @@ is bounded, are broadcast, so that no frequent pair is ever a hot key; the other
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import BROADCAST_ROWS, stored
-from clickloom.llm.texts import give_back
+from clickloom.llm.texts import Memo, give_back
 from clickloom.llm.token_counts import byte_symbols
 from clickloom.session import ship_package
 
 #: An id pair is one number: the first tokenizer's id in the upper half.
 _SHIFT = 32
 _DOCS_AT_ONCE = 250
+_PIECES_KEPT, _PAIRS_KEPT, _PIECES_AT_ONCE = 400_000, 200_000, 1000
+_WIDE, _CUT = re.compile(r"\s\s").search, re.compile(r"(?<=\S)(?= \S)").split
 _SCHEMA = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
@@ -44,15 +49,16 @@ def align(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int,
     i = j = 0
     n = len(ends_a)
     while i < n:
-        start_i, start_j, step, growing = i, j, 1, True
-        while step:
-            same = ends_a[i : i + step]
-            if same and same == ends_b[j : j + step]:
-                i, j = i + len(same), j + len(same)
-                step = step * 2 if growing else step // 2
-            else:
-                growing = False
+        start_i, start_j, step = i, j, 4
+        if ends_a[i] == ends_b[j]:
+            while (same := ends_a[i : i + step]) and same == ends_b[j : j + step]:
+                i, j, step = i + len(same), j + len(same), step * 2
+            while step > 8:  # the first difference lies within a step
                 step //= 2
+                if ends_a[i : i + step] == ends_b[j : j + step]:
+                    i, j = min(i + step, n), j + min(step, n - i)
+            while i < n and ends_a[i] == ends_b[j]:
+                i, j = i + 1, j + 1
         if i > start_i:
             yield start_i, i, start_j, j
             continue
@@ -68,16 +74,16 @@ def align(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int,
         yield start_i, i, start_j, j
 
 
-def links_and_groups(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], show_a: list[str], show_b: list[str]) -> tuple[list[int], list[str]]:
+def links_and_groups(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], show: list[str], show_pair: dict[int, str]) -> tuple[list[int], list[str]]:
     """Every pair of tokens whose bytes overlap, and the groups as text."""
     links, groups = [], []
     for i, to_i, j, to_j in align(ends_a, ends_b):
         if ends_a[i] == ends_b[j]:  # one to one
-            own_a, own_b = a[i:to_i], b[j:to_j]
-            links += [x << _SHIFT | y for x, y in zip(own_a, own_b)]
-            groups += [show_a[x] + "|" + show_b[y] for x, y in zip(own_a, own_b)]
+            own = [x << _SHIFT | y for x, y in zip(a[i:to_i], b[j:to_j])]
+            links += own
+            groups += map(show_pair.__getitem__, own)
             continue
-        groups.append(",".join([show_a[x] for x in a[i:to_i]]) + "|" + ",".join([show_b[y] for y in b[j:to_j]]))
+        groups.append(",".join([show[x] for x in a[i:to_i]]) + "|" + ",".join([show[y] for y in b[j:to_j]]))
         while i < to_i:
             links.append(a[i] << _SHIFT | b[j])
             end_a, end_b = ends_a[i], ends_b[j]
@@ -86,22 +92,100 @@ def links_and_groups(a: list[int], b: list[int], ends_a: list[int], ends_b: list
     return links, groups
 
 
+class Encoders:
+    """Both libraries' ids of whole texts, from the ids of pieces that a bounded memo keeps.
+
+    A space between two characters that are no white space begins a new token in both: in the first by its
+    splitting pattern, in the second because no entry has a space behind another character. Both are
+    checked, and a vocabulary that isn't so is given whole texts.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        self.first = Tokenizer.from_file(path_a)
+        self.first.encode_special_tokens = True
+        self.second = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        byte_of = {symbol: b for b, symbol in byte_symbols().items()}
+        entries = [self.first.id_to_token(i) or "" for i in range(self.first.get_vocab_size())]
+        self.bytes_a = [bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode() for entry in entries]
+        pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.len_a, self.len_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.show = [str(i) for i in range(max(len(entries), len(pieces)))]
+        self.show_pair = Memo(lambda pair: f"{pair >> _SHIFT}|{pair & (1 << _SHIFT) - 1}", _PAIRS_KEPT)
+        spec = json.loads(self.first.to_str())
+        own, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
+        plain = spec["normalizer"] is None and own.get("type") == "ByteLevel" and own.get("use_regex") and not own.get("add_prefix_space")
+        self.by_piece = plain and all(token["special"] for token in added) and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...], bool]] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        """The text cut before such spaces, which are left out."""
+        if not self.by_piece:
+            return [text]
+        if text[-1].isspace() or _WIDE(" " + text):
+            return [piece[1:] for piece in _CUT(" " + text)]
+        return text.split(" ")
+
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self.known) + len(pieces) > _PIECES_KEPT:
+            self.known.clear()
+        alone = pieces
+        if self.by_piece:
+            # Many are encoded as one text, which is cut where they end.
+            inner = [piece for piece in pieces if not (piece[:1].isspace() or piece[-1:].isspace())]
+            alone = [piece for piece in pieces if piece[:1].isspace() or piece[-1:].isspace()]
+            parts = [inner[low : low + _PIECES_AT_ONCE] for low in range(0, len(inner), _PIECES_AT_ONCE)]
+            together = [" ".join(part) for part in parts]
+            coded = self.first.encode_batch_fast([" " + text for text in together], add_special_tokens=False)
+            for part, text, a, b in zip(parts, together, coded, self.second.encode(together, num_threads=1)):
+                own = a.ids
+                bounds = np.cumsum([1 + len(piece.encode()) for piece in part])
+                cut_a, cut_b = self._cut_ids(own, self.len_a, bounds), self._cut_ids(b, self.len_b, bounds)
+                if cut_a and cut_b and self._whole(text, own, b):
+                    self.known.update(zip(part, zip(cut_a, cut_b, repeat(True))))
+                else:
+                    alone += part
+        coded = self.first.encode_batch_fast([" " + piece for piece in alone], add_special_tokens=False)
+        for piece, a, b in zip(alone, coded, self.second.encode(alone, num_threads=1)):
+            own = a.ids
+            self.known[piece] = tuple(own), tuple(b), self._whole(piece, own, b)
+
+    @staticmethod
+    def _cut_ids(ids: list[int], lengths: list[int], bounds: np.ndarray) -> list[tuple[int, ...]] | None:
+        """The ids between byte bounds, or None if tokens don't end there."""
+        ends = np.cumsum([lengths[x] for x in ids])
+        cuts = np.searchsorted(ends, bounds)
+        if cuts[-1] != len(ends) - 1 or not np.array_equal(ends[cuts], bounds):
+            return None
+        whole, cuts = tuple(ids), [0, *(cuts + 1).tolist()]
+        return [whole[low:high] for low, high in zip(cuts, cuts[1:])]
+
+    def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
+        want = (" " + text).encode()
+        return b"".join([self.bytes_a[x] for x in a]) == want == b"".join([self.bytes_b[x] for x in b])
+
+    def of_texts(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """Ids of both for each text; none if the text is empty or its bytes don't come back."""
+        cut = [self._pieces(text) if text else [] for text in texts]
+        unseen = list(set().union(*cut).difference(self.known))
+        if len(self.known) + len(unseen) > _PIECES_KEPT:
+            unseen = list(set().union(*cut))
+        self._learn(unseen)
+        for text, pieces in zip(texts, cut):
+            found = [self.known[piece] for piece in pieces]
+            a, b = (list(chain.from_iterable([f[side] for f in found])) for side in (0, 1))
+            if not text or (not all([f[2] for f in found]) and not self._whole(text, a, b)):
+                a, b = [], []
+            yield a, b
+
+
 @lru_cache(maxsize=2)
-def _tokenizers(path_a: str, path_b: str):
-    """Both libraries, and for each the bytes and the decimal text of its ids."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    first = Tokenizer.from_file(path_a)
-    first.encode_special_tokens = True
-    second = sentencepiece.SentencePieceProcessor(model_file=path_b)
-    byte_of = {symbol: b for b, symbol in byte_symbols().items()}
-    shown = [first.id_to_token(i) or "" for i in range(first.get_vocab_size())]
-    bytes_a = [bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode() for token in shown]
-    pieces = [second.id_to_piece(i) for i in range(second.get_piece_size())]
-    bytes_b = [bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-    return first, second, bytes_a, bytes_b, [str(i) for i in range(max(len(bytes_a), len(bytes_b)))]
+def _encoders(path_a: str, path_b: str) -> Encoders:
+    return Encoders(path_a, path_b)
 
 
 def aligned_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -109,22 +193,20 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second, bytes_a, bytes_b, show = _tokenizers(path_a, path_b)
-        len_a, len_b = list(map(len, bytes_a)), list(map(len, bytes_b))
+        both = _encoders(path_a, path_b)
+        len_a, len_b = both.len_a, both.len_b
         for batch in batches:
             for low in range(0, len(batch), _DOCS_AT_ONCE):
                 part = batch.slice(low, _DOCS_AT_ONCE)
                 texts = [text or "" for text in part.column(2).to_pylist()]
-                coded = first.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
                 sizes, hashes, ends, pairs, times = [], [], [0], [], []
-                for text, a, b in zip(texts, coded, second.encode(texts, num_threads=1)):
-                    a, whole = a.ids, (" " + text).encode()
-                    if not text or b"".join([bytes_a[x] for x in a]) != whole or b"".join([bytes_b[x] for x in b]) != whole:
+                for a, b in both.of_texts(texts):
+                    if not a:
                         sizes.append((0, 0, 0, 0))
                         hashes.append("")
                     else:
                         ends_a, ends_b = list(accumulate([len_a[x] for x in a])), list(accumulate([len_b[x] for x in b]))
-                        links, groups = links_and_groups(a, b, ends_a, ends_b, show, show)
+                        links, groups = links_and_groups(a, b, ends_a, ends_b, both.show, both.show_pair)
                         sizes.append((len(a), len(b), len(groups), len(links)))
                         hashes.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
                         counted = Counter(links)

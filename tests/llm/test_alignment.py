@@ -99,6 +99,28 @@ def test_test_table(spark, libraries):
     assert ours(docs) == plain([(r.doc_id, r.text) for r in docs.collect()], libraries)
 
 
+@pytest.fixture(scope="module")
+def encoders():
+    return token_alignment.Encoders(*PATHS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab c'.,\n\té1<s>_T▁ 　\x1c\x85漢", max_size=60), max_size=3))
+def test_ids_by_piece_are_those_of_whole_texts(encoders, libraries, texts):
+    first, second = libraries
+    assert encoders.by_piece
+    for text, (a, b) in zip(texts, encoders.of_texts(texts)):
+        want = first.encode(" " + text, add_special_tokens=False).ids, second.encode(text)
+        assert (a, b) == (want if text and encoders._whole(text, *want) else ([], []))
+
+
+def test_the_memo_starts_anew_when_it_is_full(encoders, libraries, monkeypatch):
+    monkeypatch.setattr(token_alignment, "_PIECES_KEPT", 3)
+    for text, (a, b) in zip(TEXTS, encoders.of_texts(TEXTS)):
+        if a:
+            assert (a, b) == (libraries[0].encode(" " + text, add_special_tokens=False).ids, libraries[1].encode(text))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(1, 60).flatmap(lambda n: st.tuples(st.just(n), st.sets(st.integers(1, n)), st.sets(st.integers(1, n)))))
 def test_runs_and_groups_of_any_ends(case):
