@@ -15,6 +15,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
+    HasAggregationDepth,
+    HasCheckpointInterval,
     HasFeaturesCol,
     HasLabelCol,
     HasMaxIter,
@@ -41,9 +43,12 @@ from pyspark.sql import types as T
 
 from clickloom.functions.labels import as_double, as_sign, require_double
 from clickloom.functions.probability import clamp, sigmoid, two_class
+from clickloom.operators.active import is_active_struct, width_of
 from clickloom.operators.checks import at_least, between, one_of, positive, positive_whole
 from clickloom.operators.features import require_width, vector_width
 from clickloom.operators.fm_math import CLASSIFICATION, REGRESSION, Shape, loss_and_gradient
+from clickloom.operators.fm_sparse import BLOCKS, active_evaluator, blocks_of, numbered_partitions, pack_active, summed
+from clickloom.operators.fm_state import TrainingState
 from clickloom.session import cached, ship_package
 
 FORMAT_VERSION = "1.0"
@@ -59,6 +64,8 @@ MODEL_SCHEMA = T.StructType([
     T.StructField("format_version", T.StringType()),
 ])
 
+# Wider vectors are trained by their active entries alone.
+DENSE_WIDTH = 2048
 # Draws of a mini-batch are whole numbers below this.
 _DRAWS = 1 << 31
 
@@ -106,34 +113,35 @@ def row_evaluator(
     bounds: tuple[float, float] | None = None,
     fraction: float = 1.0,
     seed: int = 0,
+    depth: int = 2,
 ) -> Evaluate:
     """A function that gives, for several weight vectors at once, mean loss, mean gradient and rows.
 
     A mini-batch is drawn by a hash of row key, seed and iteration before any row goes to Python.
-    Partial sums always meet on the executors; the driver gets one number for each position.
+    The partitions' sums meet on the executors over ``depth`` levels; see ``fm_sparse.combine``.
     """
+    slots = numbered_partitions(rows)
 
     def evaluate(candidates: Sequence[np.ndarray], iteration: int) -> list[tuple[float, np.ndarray, int]]:
         points = np.stack(candidates)
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            totals = np.zeros((len(points), shape.size + 2))
+            totals, slot = np.zeros((len(points), shape.size + 2)), 0
             for batch in batches:
+                slot = batch.column(2)[0].as_py()
                 x, y = _matrix(batch, shape.num_features)
                 for total, flat in zip(totals, points):
                     loss, gradient = loss_and_gradient(x, y, shape, flat, task, bounds)
                     total[:2] += loss, len(y)
                     total[2:] += gradient
-            yield pa.RecordBatch.from_arrays([pa.array([totals.ravel()], pa.list_(pa.float64()))], names=["sums"])
+            yield blocks_of(totals.ravel(), slot)
 
         draw = F.pmod(F.xxhash64("key", F.lit(seed), F.lit(iteration)), F.lit(_DRAWS))
         batch = rows if fraction == 1.0 else rows.filter(draw < int(fraction * _DRAWS))
-        partials = batch.select("y", "x").mapInArrow(partial, "sums array<double>")
-        by_position = partials.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("total")).toPandas()
-        summed = np.zeros(len(points) * (shape.size + 2))
-        summed[by_position["pos"]] = by_position["total"]
+        partials = batch.select("y", "x", F.spark_partition_id().alias("slot")).mapInArrow(partial, BLOCKS)
+        totals = summed(partials, slots, depth, len(points) * (shape.size + 2))
         results = []
-        for total in np.reshape(summed, (len(points), -1)):
+        for total in np.reshape(totals, (len(points), -1)):
             count = int(total[1])
             results.append((total[0] / max(count, 1), total[2:] / max(count, 1), count))
         return results
@@ -142,11 +150,17 @@ def row_evaluator(
 
 
 def descend(
-    evaluate: Evaluate, start: np.ndarray, penalties: np.ndarray, step: float, iterations: int, tol: float
-) -> tuple[np.ndarray, list[float]]:
-    """Gradient descent with step ``step / sqrt(iteration)``; also the objective before each step."""
-    weights, history = start, []
-    for i in range(1, iterations + 1):
+    evaluate: Evaluate, start: np.ndarray, penalties: np.ndarray, step: float, iterations: int, tol: float,
+    state: TrainingState | None = None,
+) -> tuple[np.ndarray, list[float]]:
+    """Gradient descent with step ``step / sqrt(iteration)``; also the objective before each step.
+
+    With ``state``, a training that was cut off goes on after the last step that was stored.
+    """
+    weights, history, first = start, [], 1
+    if state is not None and (found := state.load()) is not None:
+        first, weights, history = found.step + 1, found.arrays["weights"], found.arrays["history"].tolist()
+    for i in range(first, iterations + 1):
         loss, gradient, rows = evaluate([weights], i)[0]
         if rows == 0:
             # The sample of this step came out empty.
@@ -155,15 +169,21 @@ def descend(
         moved = weights - step / np.sqrt(i) * (gradient + penalties * weights)
         change = np.linalg.norm(moved - weights)
         weights = moved
+        if state is not None:
+            state.save(i, weights=weights, history=np.array(history))
         if change < tol * max(np.linalg.norm(weights), 1.0):
             break
     return weights, history
 
 
 def lbfgs(
-    evaluate: Evaluate, start: np.ndarray, penalties: np.ndarray, iterations: int, corrections: int, tol: float
-) -> tuple[np.ndarray, list[float]]:
-    """L-BFGS with a backtracking search: a quarter of the step length after each refusal."""
+    evaluate: Evaluate, start: np.ndarray, penalties: np.ndarray, iterations: int, corrections: int, tol: float,
+    state: TrainingState | None = None,
+) -> tuple[np.ndarray, list[float]]:
+    """L-BFGS with a backtracking search: a quarter of the step length after each refusal.
+
+    With ``state``, a training that was cut off goes on with the kept pairs of the last stored step.
+    """
 
     def objectives(points: Sequence[np.ndarray], iteration: int) -> list[tuple[float, np.ndarray]]:
         found = evaluate(points, iteration)
@@ -172,10 +192,16 @@ def lbfgs(
             for w, (loss, gradient, _) in zip(points, found)
         ]
 
-    weights = start
-    value, gradient = objectives([weights], 0)[0]
-    history, pairs = [value], []
-    for i in range(1, iterations + 1):
+    if state is not None and (found := state.load()) is not None:
+        kept = found.arrays
+        weights, gradient, history = kept["weights"], kept["gradient"], kept["history"].tolist()
+        value, first = history[-1], found.step + 1
+        pairs = list(zip(kept["shifts"].reshape(-1, len(weights)), kept["bends"].reshape(-1, len(weights))))
+    else:
+        weights, first = start, 1
+        value, gradient = objectives([weights], 0)[0]
+        history, pairs = [value], []
+    for i in range(first, iterations + 1):
         direction = -_inverse_hessian_times(gradient, pairs)
         slope = float(direction @ gradient)
         if slope >= 0:
@@ -198,6 +224,9 @@ def lbfgs(
         done = value - new_value <= tol * max(abs(value), abs(new_value), 1e-12)
         weights, value, gradient = weights + shift, new_value, new_gradient
         history.append(value)
+        if state is not None:
+            kept = {name: np.array([p[side] for p in pairs]).ravel() for side, name in enumerate(("shifts", "bends"))}
+            state.save(i, weights=weights, gradient=gradient, history=np.array(history), **kept)
         if done:
             break
     return weights, history
@@ -226,15 +255,27 @@ class _FMParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol
 
 
 class FactorizationMachine(
-    Estimator, _FMParams, HasMaxIter, HasStepSize, HasSeed, HasSolver, HasTol,
+    Estimator, _FMParams, HasMaxIter, HasStepSize, HasSeed, HasSolver, HasTol, HasAggregationDepth, HasCheckpointInterval,
     DefaultParamsReadable, DefaultParamsWritable,
 ):
     """Trains a factorization machine.
 
     ``solver`` is "gd" (``stepSize``, ``miniBatchFraction``) or "lbfgs" (``numCorrections``).
     ``tol`` is the relative change at which training stops; 0 runs every iteration of "gd".
+
+    Features are vectors or structs of ``indices`` and ``values``; structs need ``numFeatures``. ``storage`` "dense"
+    keeps rows as blocks of a matrix, "sparse" by their active entries; "auto" takes the latter for structs and
+    for vectors wider than ``DENSE_WIDTH``. Partial gradients meet over ``aggregationDepth`` levels. With
+    ``checkpointPath``, every ``checkpointInterval`` steps are stored there, and a fit with the same settings and
+    path goes on where one before was cut off. Weights that don't fit one machine: ``fm_table.train_table``.
     """
 
+    storage = Param(Params._dummy(), "storage", "dense, sparse or auto", one_of("auto", "dense", "sparse", convert=TypeConverters.toString))
+    numFeatures = Param(Params._dummy(), "numFeatures", "width of the features, 0 to read it from the column", at_least(0, convert=TypeConverters.toInt))
+    checkpointPath = Param(Params._dummy(), "checkpointPath", "shared folder for the state of a training, empty for none", TypeConverters.toString)
+    aggregationDepth = Param(Params._dummy(), "aggregationDepth", "levels over which partial gradients meet", positive_whole)
+    checkpointInterval = Param(Params._dummy(), "checkpointInterval", "steps between stored states", positive_whole)
+
     useBias = Param(Params._dummy(), "useBias", "train a bias", TypeConverters.toBoolean)
     useLinear = Param(Params._dummy(), "useLinear", "train one linear weight per feature", TypeConverters.toBoolean)
     numFactors = Param(Params._dummy(), "numFactors", "factors per feature", positive_whole)
@@ -273,8 +314,17 @@ class FactorizationMachine(
         numCorrections: int = 10,
         tol: float = 1e-6,
         seed: int = 17,
+        storage: str = "auto",
+        numFeatures: int = 0,
+        aggregationDepth: int = 2,
+        checkpointPath: str = "",
+        checkpointInterval: int = 10,
     ):
         super().__init__()
+        self._set(
+            storage=storage, numFeatures=numFeatures, aggregationDepth=aggregationDepth, checkpointPath=checkpointPath,
+            checkpointInterval=checkpointInterval,
+        )
         self._set(
             featuresCol=featuresCol, labelCol=labelCol, predictionCol=predictionCol, probabilityCol=probabilityCol,
             task=task, solver=solver, maxIter=maxIter, stepSize=stepSize, useBias=useBias, useLinear=useLinear,
@@ -296,23 +346,24 @@ class FactorizationMachine(
         ship_package(dataset.sparkSession)
         get = self.getOrDefault
         task, label, features = get("task"), self.getLabelCol(), self.getFeaturesCol()
-        shape = Shape(vector_width(dataset, features), get("numFactors"), get("useBias"), get("useLinear"))
+        width = width_of(dataset, features, get("numFeatures"))
+        shape = Shape(width, get("numFactors"), get("useBias"), get("useLinear"))
         target = as_sign(label) if task == CLASSIFICATION else require_double(label)
         low, high = label_range(dataset, label) if task == REGRESSION else (float("-inf"), float("inf"))
         penalties = shape.penalties(get("regBias"), get("regLinear"), get("regFactors"))
         start = shape.initial(get("initStd"), get("seed"))
-        rows = pack_rows(dataset, features, target)
+        by_entry = get("storage") == "sparse" or (get("storage") == "auto" and (width > DENSE_WIDTH or is_active_struct(dataset, features)))
+        rows, evaluator = (pack_active(dataset, features, target), active_evaluator) if by_entry else (pack_rows(dataset, features, target), row_evaluator)
+        state = self._state(dataset, width) if get("checkpointPath") else None
         with cached(rows):
             if get("solver") != "lbfgs":
                 # Gradient descent sees clamped scores; the line search of L-BFGS needs smooth ones.
                 bounds = (low, high) if task == REGRESSION else None
-                evaluate = row_evaluator(rows, shape, task, bounds, get("miniBatchFraction"), get("seed"))
-                flat, history = descend(evaluate, start, penalties, get("stepSize"), get("maxIter"), get("tol"))
+                evaluate = evaluator(rows, shape, task, bounds, get("miniBatchFraction"), get("seed"), get("aggregationDepth"))
+                flat, history = descend(evaluate, start, penalties, get("stepSize"), get("maxIter"), get("tol"), state)
             else:
-                evaluate = row_evaluator(rows, shape, task)
-                flat, history = lbfgs(
-                    evaluate, start, penalties, get("maxIter"), get("numCorrections"), get("tol")
-                )
+                evaluate = evaluator(rows, shape, task, depth=get("aggregationDepth"))
+                flat, history = lbfgs(evaluate, start, penalties, get("maxIter"), get("numCorrections"), get("tol"), state)
         factors, linear, bias = shape.unpack(flat)
         model = FactorizationMachineModel(factors, linear if shape.use_linear else None, bias, low, high, history)
         model = self._copyValues(model)
@@ -320,6 +371,14 @@ class FactorizationMachine(
         return model
 
 
+    def _state(self, dataset: DataFrame, width: int) -> TrainingState:
+        """The stored training, which another setting must not continue; only ``maxIter`` may differ."""
+        free = {"maxIter", "checkpointPath", "checkpointInterval", "aggregationDepth", "storage"}
+        settings = {p.name: self.getOrDefault(p) for p in self.params if self.isDefined(p) and p.name not in free}
+        get = self.getOrDefault
+        return TrainingState(dataset.sparkSession, get("checkpointPath"), get("checkpointInterval"), {**settings, "width": width})
+
+
 def label_range(dataset: DataFrame, label: str) -> tuple[float, float]:
     """Smallest and largest label, which bound the predictions of a regression."""
     row = dataset.agg(F.min(as_double(label)).alias("low"), F.max(as_double(label)).alias("high")).first()
