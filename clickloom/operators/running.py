@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.session import materialise, small
+
 CHUNK = "_chunk"
 _CARRY, _OWN = "_carry", "_own"
 # What a task can sort at ease; 10**12 rows make 10**6 chunks.
@@ -97,12 +99,18 @@ def totals_before(
     before it gets 0. Keys of more than ``rows_per_key`` rows are split by chunk. A group whose keys
     include those of the group before is split like it, so that both windows share one exchange.
     """
-    out, base, before_keys = df, None, None
+    hot = _hot_keys(df, groups, rows_per_key)
+    # Keys that are split read the table several times.
+    out, base = materialise(df, "chunked") if any(hot.values()) else df, None
     for keys, totals in groups:
-        if base is None or not before_keys or not set(before_keys) <= set(keys):
-            out, base = _split_hot_keys(out, keys, rows_per_key), list(keys)
-        before_keys = base
+        if base is None or not base or not set(base) <= set(keys):
+            base = list(keys)
+            out = _split(out, base, hot[tuple(base)])
         values = {f"_v_{name}": value for name, value in totals.items()}
+        if hot[tuple(base)] is None:
+            before = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+            out = out.withColumns({name: F.coalesce(F.sum(value).over(before), F.lit(0)) for name, value in totals.items()})
+            continue
         # Only split keys have rows outside chunk 0, and only they carry anything on.
         split = out.filter(F.col(_OWN).isNotNull())
         per_chunk = split.groupBy(*keys, _OWN).agg(*[F.sum(v).alias(n) for n, v in values.items()])
@@ -128,14 +136,41 @@ def totals_before(
     return out.drop(_OWN)
 
 
-def _split_hot_keys(df: DataFrame, keys: Sequence[str], rows_per_key: int) -> DataFrame:
-    """Add ``_own``: the chunk for rows of keys with more than ``rows_per_key`` rows, null for the rest."""
+def _bases(groups: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> list[tuple[str, ...]]:
+    """The keys by which groups are split: their own, or those of an earlier group that they include."""
+    found: list[tuple[str, ...]] = []
+    for keys, _ in groups:
+        if not found or not found[-1] or not set(found[-1]) <= set(keys):
+            found.append(tuple(keys))
+    return found
+
+
+def _hot_keys(df: DataFrame, groups: Sequence[tuple[Sequence[str], Mapping[str, Column]]], rows_per_key: int) -> dict[tuple[str, ...], DataFrame | None]:
+    """For each base, its keys of more than ``rows_per_key`` rows, or None if there are none: one pass for all bases."""
+    bases = list(dict.fromkeys(_bases(groups)))
+    columns = list(dict.fromkeys(c for base in bases for c in base))
+    rows = df.select(*columns, F.lit(1).alias("_one"))
+    if columns:
+        sets = [[F.col(c) for c in base] for base in bases]
+        counts = rows.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
+    else:
+        counts = rows.agg(F.lit(0).alias("_set"), F.count("*").alias("_n"))
+    # At most one key for each rows_per_key rows of the table.
+    found = materialise(counts.filter(F.col("_n") > rows_per_key), "hot-keys")
+    held = {row["_set"] for row in found.select("_set").distinct().collect()}
+    # A column's bit is set where it isn't among the keys.
+    number = {base: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in base) for base in bases}
+    return {base: found.filter(F.col("_set") == number[base]).select(*base, "_n") if number[base] in held else None for base in bases}
+
+
+def _split(df: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Add ``_own``: the chunk for rows of hot keys, null for the rest."""
     df = df.drop(_OWN)
+    if hot is None:
+        return df.withColumn(_OWN, F.lit(None).cast("bigint"))
     if not keys:
         return df.withColumn(_OWN, F.col(CHUNK))
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_key)
-    named = counts.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
+    named = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
-    # At most one key for each rows_per_key rows of the table.
-    joined = df.join(F.broadcast(named), same, "left")
+    joined = df.join(small(named), same, "left")
     return joined.withColumn(_OWN, F.when(F.col("_hot"), F.col(CHUNK))).drop("_hot", *[f"_hot_{i}" for i in range(len(keys))])

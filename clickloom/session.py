@@ -11,6 +11,10 @@ from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A table with more rows, or more elements in its arrays, isn't broadcast.
+BROADCAST_ROWS, BROADCAST_ELEMENTS = 300_000, 1_500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,6 +63,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def small(df: DataFrame, array: str | None = None) -> DataFrame:
+    """The table, to be broadcast if its rows (and elements of ``array``) are counted to be few.
+
+    A larger one is left to a shuffle join, which gives the same rows. The count is a job of its own, so
+    a table that is dear to make had best be stored.
+    """
+    elements = F.sum(F.size(array)) if array else F.lit(0)
+    rows, held = df.agg(F.count("*"), elements).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_ELEMENTS else df
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[None]:
     """Keep tables that several jobs read; tables the caller already cached are left alone."""
