@@ -49,6 +49,7 @@ from clickloom.operators.features import require_width, vector_width
 from clickloom.operators.fm_math import CLASSIFICATION, REGRESSION, Shape, loss_and_gradient
 from clickloom.operators.fm_sparse import BLOCKS, active_evaluator, blocks_of, numbered_partitions, pack_active, summed
 from clickloom.operators.fm_state import TrainingState
+from clickloom.operators.fm_table import WeightTable, score_table
 from clickloom.session import cached, ship_package
 
 FORMAT_VERSION = "1.0"
@@ -425,7 +426,16 @@ class FactorizationMachineModel(Model, _FMParams, MLWritable, MLReadable):
         return self.factors.shape[1]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Narrow vectors are scored by one expression; wide or sparse ones by a weight table, see ``fm_table.score_table``."""
         features = self.getFeaturesCol()
+        if is_active_struct(dataset, features) or self.num_features > DENSE_WIDTH:
+            table = WeightTable.of_model(dataset.sparkSession, self)
+            regression = self.getOrDefault("task") == REGRESSION
+            scored = score_table(dataset, table, features, None, self.getPredictionCol() if regression else "_p")
+            if regression:
+                return scored
+            scored = scored.withColumn(self.getProbabilityCol(), two_class(F.col("_p")))
+            return scored.withColumn(self.getPredictionCol(), F.when(F.col("_p") > 0.5, 1.0).otherwise(0.0)).drop("_p")
         require_width(dataset, features, self.num_features)
         raw = score_column(F.col("_x"), self.factors, self.linear, self.bias)
         scored = dataset.withColumn("_x", vector_to_array(features)).withColumn("_raw", raw)

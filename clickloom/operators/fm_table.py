@@ -103,14 +103,14 @@ def score_table(df: DataFrame, weights: WeightTable, features: str = "features",
     if key is None:
         key = "_row"
         own = materialise(df.withColumn(key, F.monotonically_increasing_id()), "rows-to-score")
-    named = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"key {key} is null"))).otherwise(F.col(key)).alias("_key")
-    entries = own.select(named, F.explode_outer(active(own, features)).alias("entry")).select("_key", "entry.position", "entry.value")
+    entries = own.select(F.col(key).alias("_key"), F.explode_outer(active(own, features)).alias("entry")).select("_key", "entry.position", "entry.value")
     sums = entries.join(small(_wide(weights)), "position", "left").groupBy("_key").agg(*_sums(weights.num_factors))
     raw = _raw(weights.num_factors, weights.bias)
     value = sigmoid(raw) if weights.task == CLASSIFICATION else clamp(raw, weights.low, weights.high)
     scored = sums.select("_key", value.alias("_score"))
     kept = [own[f"`{c}`"] for c in df.columns if c != output]
-    return own.join(scored, own[key] == scored["_key"]).select(*kept, scored["_score"].alias(output))
+    score = F.when(own[key].isNull(), F.raise_error(F.lit(f"key {key} is null"))).otherwise(scored["_score"])
+    return own.join(scored, own[key] == scored["_key"], "left").select(*kept, score.alias(output))
 
 
 def gradient_table(rows: DataFrame, weights: WeightTable) -> DataFrame:

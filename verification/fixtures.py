@@ -55,6 +55,18 @@ def net_weight(k: int) -> float:
     return ((7 * k) % 11 - 5) / 20
 
 
+# The wide check: a one-hot crossing of user and item, then two numbers, in one sparse vector.
+CROSSED = 120_000
+WIDE = CROSSED + 2
+
+
+def wide_entries() -> Column:
+    """The active entries of an impression as a struct of indices and values."""
+    crossing = (F.col("user_id").cast("long") * 1009 + F.col("item_id").cast("long") * 9176) % CROSSED
+    indices = F.array(crossing.cast("int"), F.lit(CROSSED), F.lit(CROSSED + 1))
+    return F.struct(indices.alias("indices"), F.array(F.lit(1.0), F.col("user_item_imp"), F.col("item_ctr")).alias("values"))
+
+
 # Settings of the training checks.
 FM_STEPS = 5
 FM_STEP_SIZE = 0.5

@@ -11,6 +11,7 @@ import numpy as np
 
 from clickloom.operators.fm_math import CLASSIFICATION, REGRESSION, Shape
 from verification.fixtures import (
+    CROSSED,
     FM_FACTORS,
     FM_INIT_STD,
     FM_REG,
@@ -224,6 +225,30 @@ UNION ALL """ + weight_rows("gradient", "(SELECT avg(pull) FROM pulls)").strip()
     fm_gradient("pulls", "weights", "gradient"),
 )
 
+# One-hot crossings of user and item in front of two numbers, as active entries.
+WIDE_X = f"""
+x AS MATERIALIZED (
+  SELECT event_id, label_planted, item_ctr, position, value FROM (
+    SELECT event_id, label_planted, item_ctr,
+      unnest([(CAST(user_id AS BIGINT) * 1009 + CAST(item_id AS BIGINT) * 9176) % {CROSSED}, {CROSSED}, {CROSSED + 1}]) AS position,
+      unnest([1.0E0, user_item_imp, item_ctr]) AS value FROM samples)
+  WHERE value <> 0)"""
+WIDE_STEP = [WIDE_X, FIXED_WEIGHTS, fm_forward("weights", "bias", "forward")]
+WIDE_GRADIENT = on_samples(
+    """
+SELECT 'loss' AS part, 0 AS position, 0 AS factor, round((SELECT avg(loss) FROM pulls), 6) AS value
+UNION ALL SELECT 'rows', 0, 0, CAST((SELECT count(*) FROM pulls) AS DOUBLE)
+UNION ALL """ + weight_rows("gradient", "(SELECT avg(pull) FROM pulls)").strip(),
+    *WIDE_STEP,
+    fm_pull("forward", "pulls", CLASSIFICATION),
+    """
+gradient AS MATERIALIZED (
+  SELECT position, sum(pull * value) / (SELECT count(*) FROM pulls) AS lin,
+    (sum(pull * s0 * value) - any_value(v0) * sum(pull * value * value)) / (SELECT count(*) FROM pulls) AS v0,
+    (sum(pull * s1 * value) - any_value(v1) * sum(pull * value * value)) / (SELECT count(*) FROM pulls) AS v1
+  FROM x JOIN pulls USING (event_id) JOIN weights USING (position) GROUP BY position)""",
+)
+
 # Widths of the inner layout: ten content types, bucket, clicks, impressions, new user, cosine.
 INNER_WIDTH = 15
 
@@ -412,7 +437,7 @@ FROM forward CROSS JOIN (SELECT min(item_ctr) AS low, max(item_ctr) AS high FROM
     "random_split": on_samples("SELECT event_id, CAST(1 AS BIGINT) AS parts FROM samples"),
     "mini_batch_whole": on_samples("SELECT event_id FROM samples"),
     "lr_moments": on_samples(
-        "SELECT CAST(position AS INT) AS position, round(avg(label_planted * value), 3) AS moment FROM x GROUP BY 1", *features("inner")
+        "SELECT CAST(position AS INT) AS position, round(sum(label_planted * value), 6) AS observed, TRUE AS met FROM x GROUP BY 1", *features("inner")
     ),
     "nn_forward": network_forward("base", 142),
     "ipnn_forward": network_forward("inner", 15),
@@ -425,4 +450,7 @@ SELECT CAST(0 AS INT) AS "treeID", CAST(leaf AS INT) AS leaf, concat('feature ',
 FROM best CROSS JOIN (VALUES (0), (1)) sides_of(leaf)""", *STUMP),
     "gbtlr_leaf_counts": on_samples("SELECT event_id, CAST(10 AS INT) AS leaves FROM samples WHERE split_bucket >= 700"),
 }
+ORACLES["fm_sparse_steps"] = ORACLES["fm_table_steps"] = ORACLES["fm_gd_steps"]
+ORACLES["fm_wide_score"] = on_samples("SELECT event_id, round(1.0E0 / (1.0E0 + exp(-raw)), 6) AS ctr FROM forward", *WIDE_STEP)
+ORACLES["fm_wide_gradient"] = ORACLES["fm_wide_gradient_table"] = WIDE_GRADIENT
 ORACLES["fm_saved_score"] = ORACLES["fm_score_fixed"]

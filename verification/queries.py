@@ -20,6 +20,8 @@ from clickloom.functions.probability import click_probability
 from clickloom.operators.features import FEATURES, feature_stages, fit_features, vector_width
 from clickloom.operators.fm import FactorizationMachine, FactorizationMachineModel, label_range, pack_rows, row_evaluator
 from clickloom.operators.fm_math import CLASSIFICATION, REGRESSION, Shape
+from clickloom.operators.fm_sparse import active_evaluator, pack_active
+from clickloom.operators.fm_table import WeightTable, gradient_table, score_table, train_table, training_rows
 from clickloom.operators.gbtlr import GBTLRClassificationModel, GBTLRClassifier
 from clickloom.operators.quantiles import QuantileCuts, exact_quantiles
 from clickloom.operators.split import hash_bucket, hash_split, mini_batch, random_split
@@ -43,10 +45,12 @@ from verification.fixtures import (
     LABEL,
     NET,
     SEED,
+    WIDE,
     fm_factor,
     fm_linear,
     net_weight,
     planted_samples,
+    wide_entries,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -291,7 +295,7 @@ def machine(**params) -> FactorizationMachine:
     )
 
 
-def fm_steps(task: int, label: str) -> Query:
+def fm_steps(task: int, label: str, **options) -> Query:
     """A few full-batch steps from known initial weights, which SQL can follow."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +303,7 @@ def fm_steps(task: int, label: str) -> Query:
         bias, linear, factors = FM_REG
         model = machine(
             labelCol=label, task=task, solver="gd", maxIter=FM_STEPS, stepSize=FM_STEP_SIZE, tol=0.0,
-            regBias=bias, regLinear=linear, regFactors=factors,
+            regBias=bias, regLinear=linear, regFactors=factors, **options,
         ).fit(df)
         shape = Shape(model.num_features, model.num_factors)
         return _weight_table(spark, _weight_rows(shape, shape.pack(model.factors, model.linear, model.bias)))
@@ -320,6 +324,73 @@ def q_fm_label_range_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_samples(spark, sf_dir).select("event_id", LABEL, wide_entries().alias("entries"))
+
+
+def fixed_weight_table(spark: SparkSession, width: int) -> WeightTable:
+    """The fixed weights by their rule, for any width."""
+    at = F.col("id")
+    factors = F.array(*[((2 * at + f) % 7 - 3) / 20 for f in range(FM_FACTORS)])
+    rows = spark.range(width).select(at.cast("int").alias("position"), ((at % 5 - 2) / 10).alias("linear"), factors.alias("factors"))
+    return WeightTable(rows, FM_FACTORS, FM_BIAS)
+
+
+def q_fm_wide_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-hot ids of more than 100,000 positions, scored from a stored weight table."""
+    path = scratch_path(spark, "weight-table")
+    fixed_weight_table(spark, WIDE).save(path)
+    return ctr_only(score_table(wide_rows(spark, sf_dir), WeightTable.load(spark, path), "entries", "event_id"))
+
+
+def touched_weights(gradient: DataFrame) -> DataFrame:
+    """Rows of a gradient by part, position and factor."""
+    parts = F.when(F.col("position") < 0, "bias").otherwise("linear")
+    place = F.greatest("position", F.lit(0))
+    linear = gradient.select(parts.alias("part"), place.alias("position"), F.lit(0).alias("factor"), F.col("linear").alias("value"))
+    factors = gradient.filter("position >= 0").select(F.lit("factor").alias("part"), "position", F.posexplode("factors").alias("factor", "value"))
+    return linear.unionByName(factors).withColumn("value", r6("value"))
+
+
+def q_fm_wide_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gradient over sparse blocks: active entries only, of more than 100,000 positions."""
+    df = wide_rows(spark, sf_dir)
+    shape = Shape(WIDE, FM_FACTORS)
+    rows = pack_active(df, "entries", as_sign(LABEL))
+    with cached(rows):
+        evaluate = active_evaluator(rows, shape, CLASSIFICATION, block=10_000)
+        loss, gradient, count = evaluate([shape.pack(*fm_weights(WIDE), FM_BIAS)], 1)[0]
+    factors, linear, bias = shape.unpack(gradient)
+    touched = [(-1, float(bias), [0.0] * FM_FACTORS), *[(int(i), float(linear[i]), factors[i].tolist()) for i in np.flatnonzero(linear)]]
+    out = spark.createDataFrame(touched, "position int, linear double, factors array<double>")
+    first = _weight_table(spark, [("loss", 0, 0, float(loss)), ("rows", 0, 0, float(count))])
+    return first.unionByName(touched_weights(out))
+
+
+def q_fm_wide_gradient_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same gradient with the weights as a table, by joins and sums."""
+    rows = training_rows(wide_rows(spark, sf_dir), "entries", LABEL, CLASSIFICATION)
+    found = materialise(gradient_table(rows, fixed_weight_table(spark, WIDE)), "gradient")
+    whole = found.filter("position = -1")
+    n = whole.first()["n"]
+    mean = found.select("position", (F.col("linear") / n).alias("linear"), F.transform("factors", lambda g: g / n).alias("factors"))
+    tail = lambda part, value: whole.select(F.lit(part).alias("part"), F.lit(0).alias("position"), F.lit(0).alias("factor"), r6(value).alias("value"))
+    return tail("loss", F.col("loss") / n).unionByName(tail("rows", F.col("n").cast("double"))).unionByName(touched_weights(mean))
+
+
+def q_fm_table_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The known training steps with weights that are a table from the start to the end."""
+    df = prepared(spark, sf_dir, "inner").select(FEATURES, LABEL)
+    shape = Shape(vector_width(df), FM_FACTORS)
+    factors, linear, _ = shape.unpack(shape.initial(FM_INIT_STD, SEED))
+    first = [(i, float(w), v) for i, (w, v) in enumerate(zip(linear, factors.tolist()))]
+    start = WeightTable(spark.createDataFrame(first, "position int, linear double, factors array<double>"), FM_FACTORS)
+    rows = training_rows(df, FEATURES, LABEL, CLASSIFICATION)
+    weights, _ = train_table(rows, start, FM_STEPS, FM_STEP_SIZE, scratch_path(spark, "table-training"), *FM_REG)
+    bias = spark.createDataFrame([(-1, weights.bias, [0.0] * FM_FACTORS)], weights.rows.schema)
+    return touched_weights(bias.unionByName(weights.rows))
+
+
 def fm_query(task: int, label: str, **params) -> Query:
     """Fit on the training part, predict the validation part."""
 
@@ -354,8 +425,12 @@ def q_lr_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = prepared(spark, sf_dir, "inner").select("event_id", FEATURES, LABEL)
     model = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, maxIter=500, tol=1e-14).fit(df)
     out = model.transform(df).withColumn("ctr", click_probability())
-    values = out.select("ctr", F.posexplode(vector_to_array(FEATURES)).alias("position", "value"))
-    return values.groupBy("position").agg(F.round(F.avg(F.col("ctr") * F.col("value")), 3).alias("moment"))
+    values = out.select("ctr", LABEL, F.posexplode(vector_to_array(FEATURES)).alias("position", "value"))
+    sums = values.groupBy("position").agg(
+        F.sum(F.col(LABEL) * F.col("value")).alias("observed"), F.sum(F.col("ctr") * F.col("value")).alias("expected"), F.count("*").alias("n")
+    )
+    met = F.abs(F.col("expected") - F.col("observed")) / F.col("n") < 1e-5
+    return sums.select("position", r6("observed").alias("observed"), met.alias("met"))
 
 
 def network_query(layout: str) -> Query:
@@ -523,6 +598,11 @@ QUERIES: dict[str, Query] = {
     "fm_score_fixed": q_fm_score_fixed,
     "fm_gradient_step": q_fm_gradient_step,
     "fm_gd_steps": fm_steps(CLASSIFICATION, LABEL),
+    "fm_sparse_steps": fm_steps(CLASSIFICATION, LABEL, storage="sparse", aggregationDepth=3),
+    "fm_table_steps": q_fm_table_steps,
+    "fm_wide_score": q_fm_wide_score,
+    "fm_wide_gradient": q_fm_wide_gradient,
+    "fm_wide_gradient_table": q_fm_wide_gradient_table,
     "fm_regression_steps": fm_steps(REGRESSION, "item_ctr"),
     "fm_label_range_clamp": q_fm_label_range_clamp,
     "fm_gd": fm_query(CLASSIFICATION, LABEL, solver="gd", maxIter=50, stepSize=1.0, tol=0.0),
