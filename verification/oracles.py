@@ -450,6 +450,13 @@ SELECT CAST(0 AS INT) AS "treeID", CAST(leaf AS INT) AS leaf, concat('feature ',
 FROM best CROSS JOIN (VALUES (0), (1)) sides_of(leaf)""", *STUMP),
     "gbtlr_leaf_counts": on_samples("SELECT event_id, CAST(10 AS INT) AS leaves FROM samples WHERE split_bucket >= 700"),
 }
+for name in ("nn", "ipnn", "opnn"):
+    ORACLES[f"tables_{name}_score"] = ORACLES[f"{name}_forward"]
+ORACLES["tables_nb_score"] = BAYES_SCORE
+ORACLES["tables_rf_stump"], ORACLES["tables_gbt_stump"] = ORACLES["rf_stump_score"], ORACLES["gbt_stump_score"]
+ORACLES["tables_trained"] = on_samples(f"""
+SELECT event_id, model, TRUE AS same FROM samples CROSS JOIN (VALUES ('lr'), ('rf'), ('gbdt'), ('gbtlr'), ('fm'), ('ipnn')) m(model)
+WHERE NOT ({TRAINING})""")
 ORACLES["fm_sparse_steps"] = ORACLES["fm_table_steps"] = ORACLES["fm_gd_steps"]
 ORACLES["fm_wide_score"] = on_samples("SELECT event_id, round(1.0E0 / (1.0E0 + exp(-raw)), 6) AS ctr FROM forward", *WIDE_STEP)
 ORACLES["fm_wide_gradient"] = ORACLES["fm_wide_gradient_table"] = WIDE_GRADIENT

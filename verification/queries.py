@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -30,6 +31,7 @@ from clickloom.plans.comparison import compare_models
 from clickloom.plans.evaluation import evaluate
 from clickloom.plans.models import CtrModel
 from clickloom.plans.portable_net import score_portable_net
+from clickloom.plans.portable_tables import export_model, read_tables, score_tables
 from clickloom.plans.scoring import load_and_score, save_model, score
 from clickloom.session import cached, materialise, scratch_path, ship_package
 from clickloom.sources.samples import read_samples, write_samples
@@ -459,12 +461,15 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(VectorAssembler(inputCols=["f0", "f1", "f2"], outputCol=FEATURES).transform(df), "flags")
 
 
-def q_rf_stump_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = flags(spark, sf_dir)
-    forest = RandomForestClassifier(
+def one_stump_forest() -> RandomForestClassifier:
+    return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=SEED
     )
-    return ctr_only(forest.fit(df).transform(df).withColumn("ctr", click_probability()))
+
+
+def q_rf_stump_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = flags(spark, sf_dir)
+    return ctr_only(one_stump_forest().fit(df).transform(df).withColumn("ctr", click_probability()))
 
 
 def q_gbt_stump_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,6 +542,60 @@ def q_gbtlr_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.stages[-1].rules(spark)
 
 
+# Exported models
+
+
+def through_tables(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Scores from the number tables of a model that was written and read again."""
+    path = scratch_path(df.sparkSession, "number-tables")
+    export_model(model, path)
+    return score_tables(df, read_tables(df.sparkSession, path))
+
+
+def q_tables_nb_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctr_only(through_tables(*fitted_bayes(spark, sf_dir)))
+
+
+def given_network(df: DataFrame, layout: str) -> PipelineModel:
+    features = fit_features(df, layout, DIM, relative_error=0.0)
+    prepared_rows = features.transform(df).select(FEATURES, LABEL)
+    width = vector_width(prepared_rows)
+    size = (width + 1) * (width // 2) + (width // 2 + 1) * 2
+    network = MultilayerPerceptronClassifier(
+        featuresCol=FEATURES, labelCol=LABEL, layers=[width, width // 2, 2], maxIter=0, initialWeights=Vectors.dense([net_weight(k) for k in range(size)])
+    )
+    return PipelineModel(stages=[*features.stages, network.fit(prepared_rows)])
+
+
+def tables_network_query(layout: str) -> Query:
+    """The network of given weights, exported with its feature stages and scored from raw samples."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = stored_samples(spark, sf_dir)
+        return ctr_only(through_tables(given_network(df, layout), df))
+
+    return query
+
+
+def tables_stump_query(make: Callable[[], object]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = flags(spark, sf_dir)
+        return ctr_only(through_tables(PipelineModel(stages=[make().fit(df)]), df))
+
+    return query
+
+
+def q_tables_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For trained models of every kind: whether each row's score from the tables is that of the model."""
+    train, validation = split(spark, sf_dir)
+    parts = []
+    for name in ("lr", "rf", "gbdt", "gbtlr", "fm", "ipnn"):
+        model = CtrModel(name, DIM, LABEL).fit(train)
+        both = through_tables(model, score(model, validation).withColumnRenamed("ctr", "direct"))
+        parts.append(both.select("event_id", F.lit(name).alias("model"), (F.abs(F.col("ctr") - F.col("direct")) < 1e-9).alias("same")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Evaluation
 
 
@@ -613,6 +672,13 @@ QUERIES: dict[str, Query] = {
     "nn_forward": network_query("base"),
     "ipnn_forward": network_query("inner"),
     "opnn_forward": network_query("outer"),
+    "tables_nb_score": q_tables_nb_score,
+    "tables_nn_score": tables_network_query("base"),
+    "tables_ipnn_score": tables_network_query("inner"),
+    "tables_opnn_score": tables_network_query("outer"),
+    "tables_rf_stump": tables_stump_query(one_stump_forest),
+    "tables_gbt_stump": tables_stump_query(lambda: GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=1, maxDepth=1, seed=SEED)),
+    "tables_trained": q_tables_trained,
     "rf_stump_score": q_rf_stump_score,
     "gbt_stump_score": q_gbt_stump_score,
     "gbtlr_stump_leaves": q_gbtlr_stump_leaves,
