@@ -30,6 +30,7 @@ BATCH = 64
 # Of so many components one bit each is compared where candidates meet.
 BITS = 128
 _CELLS = 1 << 17
+_DOCS_AT_ONCE = 500
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -64,6 +65,16 @@ def signature(shingles: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
+def codes_of(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One byte of each minimum, and one bit of the first ``BITS``.
+
+    Minima are small numbers, the more so the longer the text is: their bits are mixed first, so that
+    different minima agree by chance as rarely as ``least_matches`` assumes.
+    """
+    mixed = mix(least.astype(np.uint64))
+    return (mixed & np.uint64(255)).astype(np.uint8), (mixed[:BITS] >> np.uint64(8) & np.uint64(1)).astype(np.uint8)
+
+
 def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, values: int = 256) -> list[tuple[int, int]]:
     """After how many compared components how many have to agree, for the pair to go on.
 
@@ -104,7 +115,7 @@ def component_ids(
     n = bands * rows
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(low, _DOCS_AT_ONCE) for whole in batches for low in range(0, len(whole), _DOCS_AT_ONCE)):
             sizes, one, two, keys, codes, bits = [], [], [], [], [], []
             for shingles in shingle_sets(batch.column(1), words):
                 sizes.append(len(shingles))
@@ -117,8 +128,9 @@ def component_ids(
                     for c in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + banded[:, c])
                     keys.append(key.view(np.int64))
-                    codes.append((least >> np.uint32(24)).astype(np.uint8).tobytes())
-                    bits.append(np.packbits((least[:BITS] >> np.uint32(20)).astype(np.uint8) & 1).view(np.int64))
+                    short, ones = codes_of(least)
+                    codes.append(short.tobytes())
+                    bits.append(np.packbits(ones).view(np.int64))
                 else:
                     keys.append(np.empty(0, np.int64))
                     codes.append(b"")

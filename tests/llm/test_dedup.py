@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -126,6 +127,27 @@ def test_pruning_rules_keep_similar_pairs():
     assert all(least <= 0.8 * seen for seen, least in rules) and rules[0][1] > 0.3 * rules[0][0]
 
 
+@pytest.mark.parametrize("size", [50, 1500, 20_000])
+def test_pruning_drops_pairs_below_the_threshold_at_every_length(size):
+    draw, n = np.random.default_rng(size), near_dedup.BANDS * near_dedup.ROWS
+    rules = near_dedup.least_matches(0.8, 1e-6, n)
+
+    def goes_on(similarity: float) -> float:
+        """Share of pairs of that similarity that all rules let through."""
+        through = 0
+        for _ in range(20):
+            both = round(similarity * 2 * size / (1 + similarity))
+            words = draw.integers(0, 2**63, 2 * size - both, dtype=np.uint64) * np.uint64(2)
+            a, b = (near_dedup.codes_of(near_dedup.signature(np.unique(s), n)) for s in (words[:size], words[size - both :]))
+            agree = a[0] == b[0]
+            through += all(agree[:seen].sum() >= least for seen, least in rules)
+            assert (a[1] == b[1]).sum() > 0.5 * near_dedup.BITS and 0.25 < a[1].mean() < 0.75
+        return through / 20
+
+    assert goes_on(0.66) == 0 and goes_on(0.5) == 0
+    assert goes_on(0.8) == 1 and goes_on(0.9) == 1
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), max_size=45))
 def test_components_of_random_links(spark, links):
