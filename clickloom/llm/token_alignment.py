@@ -12,6 +12,7 @@ is bounded, are broadcast, so that no frequent pair is ever a hot key; the other
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -35,7 +36,7 @@ from clickloom.session import ship_package
 #: An id pair is one number: the first tokenizer's id in the upper half.
 _SHIFT = 32
 _DOCS_AT_ONCE = 250
-_PIECES_KEPT, _PAIRS_KEPT, _PIECES_AT_ONCE = 400_000, 200_000, 1000
+_PIECES_KEPT, _PAIRS_KEPT, _PIECES_AT_ONCE = 600_000, 300_000, 1000
 _WIDE, _CUT = re.compile(r"\s\s").search, re.compile(r"(?<=\S)(?= \S)").split
 _SCHEMA = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
@@ -78,17 +79,23 @@ def links_and_groups(a: list[int], b: list[int], ends_a: list[int], ends_b: list
     """Every pair of tokens whose bytes overlap, and the groups as text."""
     links, groups = [], []
     for i, to_i, j, to_j in align(ends_a, ends_b):
+        own_a, own_b = a[i:to_i], b[j:to_j]
         if ends_a[i] == ends_b[j]:  # one to one
-            own = [x << _SHIFT | y for x, y in zip(a[i:to_i], b[j:to_j])]
+            own = [x << _SHIFT | y for x, y in zip(own_a, own_b)]
             links += own
             groups += map(show_pair.__getitem__, own)
             continue
-        groups.append(",".join([show[x] for x in a[i:to_i]]) + "|" + ",".join([show[y] for y in b[j:to_j]]))
-        while i < to_i:
-            links.append(a[i] << _SHIFT | b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i += end_a <= end_b
-            j += end_b <= end_a
+        groups.append(f"{','.join([show[x] for x in own_a])}|{','.join([show[y] for y in own_b])}")
+        if len(own_a) == 1:
+            links += [own_a[0] << _SHIFT | y for y in own_b]
+        elif len(own_b) == 1:
+            links += [x << _SHIFT | own_b[0] for x in own_a]
+        else:
+            while i < to_i:
+                links.append(a[i] << _SHIFT | b[j])
+                end_a, end_b = ends_a[i], ends_b[j]
+                i += end_a <= end_b
+                j += end_b <= end_a
     return links, groups
 
 
@@ -114,12 +121,13 @@ class Encoders:
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.len_a, self.len_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.same = list(range(max(len(entries), len(pieces))))
         self.show = [str(i) for i in range(max(len(entries), len(pieces)))]
-        self.show_pair = Memo(lambda pair: f"{pair >> _SHIFT}|{pair & (1 << _SHIFT) - 1}", _PAIRS_KEPT)
         spec = json.loads(self.first.to_str())
         own, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
         plain = spec["normalizer"] is None and own.get("type") == "ByteLevel" and own.get("use_regex") and not own.get("add_prefix_space")
         self.by_piece = plain and all(token["special"] for token in added) and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.show_pair = Memo(lambda pair: f"{pair >> _SHIFT}|{pair & (1 << _SHIFT) - 1}", _PAIRS_KEPT)
         self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...], bool]] = {}
 
     def _pieces(self, text: str) -> list[str]:
@@ -154,14 +162,14 @@ class Encoders:
             own = a.ids
             self.known[piece] = tuple(own), tuple(b), self._whole(piece, own, b)
 
-    @staticmethod
-    def _cut_ids(ids: list[int], lengths: list[int], bounds: np.ndarray) -> list[tuple[int, ...]] | None:
+    def _cut_ids(self, ids: list[int], lengths: list[int], bounds: np.ndarray) -> list[tuple[int, ...]] | None:
         """The ids between byte bounds, or None if tokens don't end there."""
         ends = np.cumsum([lengths[x] for x in ids])
         cuts = np.searchsorted(ends, bounds)
         if cuts[-1] != len(ends) - 1 or not np.array_equal(ends[cuts], bounds):
             return None
-        whole, cuts = tuple(ids), [0, *(cuts + 1).tolist()]
+        # The same number objects everywhere: kept pieces hold references into one small table.
+        whole, cuts = tuple([self.same[x] for x in ids]), [0, *(cuts + 1).tolist()]
         return [whole[low:high] for low, high in zip(cuts, cuts[1:])]
 
     def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
@@ -176,11 +184,12 @@ class Encoders:
             unseen = list(set().union(*cut))
         self._learn(unseen)
         for text, pieces in zip(texts, cut):
-            found = [self.known[piece] for piece in pieces]
-            a, b = (list(chain.from_iterable([f[side] for f in found])) for side in (0, 1))
-            if not text or (not all([f[2] for f in found]) and not self._whole(text, a, b)):
-                a, b = [], []
-            yield a, b
+            if not text:
+                yield [], []
+                continue
+            parts_a, parts_b, whole = zip(*map(self.known.__getitem__, pieces))
+            a, b = list(chain.from_iterable(parts_a)), list(chain.from_iterable(parts_b))
+            yield (a, b) if all(whole) or self._whole(text, a, b) else ([], [])
 
 
 @lru_cache(maxsize=2)
@@ -188,38 +197,48 @@ def _encoders(path_a: str, path_b: str) -> Encoders:
     return Encoders(path_a, path_b)
 
 
+def run_batches(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[pa.RecordBatch]:
+    """Batches of (row, doc_id, text) to those of ``_SCHEMA``."""
+    both = _encoders(path_a, path_b)
+    len_a, len_b = both.len_a, both.len_b
+    for batch in batches:
+        for low in range(0, len(batch), _DOCS_AT_ONCE):
+            part = batch.slice(low, _DOCS_AT_ONCE)
+            texts = [text or "" for text in part.column(2).to_pylist()]
+            sizes, hashes, ends, pairs, times = [], [], [0], [], []
+            for a, b in both.of_texts(texts):
+                if not a:
+                    sizes.append((0, 0, 0, 0))
+                    hashes.append("")
+                else:
+                    ends_a, ends_b = list(accumulate(map(len_a.__getitem__, a))), list(accumulate(map(len_b.__getitem__, b)))
+                    links, groups = links_and_groups(a, b, ends_a, ends_b, both.show, both.show_pair)
+                    sizes.append((len(a), len(b), len(groups), len(links)))
+                    hashes.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
+                    counted = Counter(links)
+                    pairs += counted.keys()
+                    times += counted.values()
+                ends.append(len(pairs))
+            offsets = pa.array(ends, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), *[pa.array(c, pa.int64()) for c in zip(*sizes)], pa.array(hashes),
+                 pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
+                ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
+            )
+        give_back()
+
+
 def aligned_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """A row for each row of ``docs``: sizes, the groups' hash, and its id pairs with how often each occurs."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _encoders(path_a, path_b)
-        len_a, len_b = both.len_a, both.len_b
-        for batch in batches:
-            for low in range(0, len(batch), _DOCS_AT_ONCE):
-                part = batch.slice(low, _DOCS_AT_ONCE)
-                texts = [text or "" for text in part.column(2).to_pylist()]
-                sizes, hashes, ends, pairs, times = [], [], [0], [], []
-                for a, b in both.of_texts(texts):
-                    if not a:
-                        sizes.append((0, 0, 0, 0))
-                        hashes.append("")
-                    else:
-                        ends_a, ends_b = list(accumulate([len_a[x] for x in a])), list(accumulate([len_b[x] for x in b]))
-                        links, groups = links_and_groups(a, b, ends_a, ends_b, both.show, both.show_pair)
-                        sizes.append((len(a), len(b), len(groups), len(links)))
-                        hashes.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
-                        counted = Counter(links)
-                        pairs += counted.keys()
-                        times += counted.values()
-                    ends.append(len(pairs))
-                offsets = pa.array(ends, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *[pa.array(c, pa.int64()) for c in zip(*sizes)], pa.array(hashes),
-                     pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
-                    ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
-                )
-            give_back()
+        # Millions of lists and no cycle among them: the collector would only go through them again and again.
+        gc.disable()
+        try:
+            yield from run_batches(batches, path_a, path_b)
+        finally:
+            gc.enable()
 
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return own.mapInArrow(run, _SCHEMA)
