@@ -28,7 +28,7 @@ from clickloom.session import ship_package
 BANDS, ROWS = 80, 8
 BATCH = 64
 # Of so many components one bit each is compared where candidates meet.
-BITS = 128
+BITS = 640
 _CELLS = 1 << 17
 _DOCS_AT_ONCE = 500
 
