@@ -5,8 +5,11 @@ compared batch by batch, and a pair is dropped as soon as the posterior chance t
 reaches the threshold is below the miss probability. What survives is confirmed on the full sets.
 
 Pairs are never made within a bucket. Each member is held against the bucket's smallest one and the
-one that meets most others; what that links falls into components. Then only members of different components in a bucket are left to
-compare, so that every candidate is either compared or already connected.
+one that meets most others; what that links falls into components. Buckets that still hold several
+components are cut into tiles of a few hundred members, and the signatures of two tiles are compared
+inside a task: only pairs of different components that pass the rules leave it. In a first round each member of a tile
+pair leaves with its best partner alone, which mostly connects a group; a second one has every pair
+that is still unconnected. So every candidate is either compared or already connected.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ from clickloom.session import ship_package
 
 BANDS, ROWS = 80, 8
 BATCH = 64
-# Of so many components one bit each is compared where candidates meet.
-BITS = 640
+# Members of a bucket that are compared with one another at a time, about.
+TILE = 256
+_PAIRS_AT_ONCE = 1 << 17
 _CELLS = 1 << 17
 _DOCS_AT_ONCE = 500
 
@@ -65,14 +69,13 @@ def signature(shingles: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
-def codes_of(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One byte of each minimum, and one bit of the first ``BITS``.
+def codes_of(least: np.ndarray) -> np.ndarray:
+    """One byte of each minimum.
 
     Minima are small numbers, the more so the longer the text is: their bits are mixed first, so that
     different minima agree by chance as rarely as ``least_matches`` assumes.
     """
-    mixed = mix(least.astype(np.uint64))
-    return (mixed & np.uint64(255)).astype(np.uint8), (mixed[:BITS] >> np.uint64(8) & np.uint64(1)).astype(np.uint8)
+    return (mix(least.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
 
 
 def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, values: int = 256) -> list[tuple[int, int]]:
@@ -95,6 +98,75 @@ def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, val
     return rules
 
 
+def passing(one: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray, rules: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of rows ``one[i]``, ``other[j]`` pass all rules, and how many components of each agree."""
+    going, agree, seen = np.arange(len(i)), np.zeros(len(i), np.int64), 0
+    for upto, least in rules:
+        same = one[:, seen:upto][i[going]] == other[:, seen:upto][j[going]]
+        agree = agree + np.count_nonzero(same, axis=1)
+        still = agree >= least
+        going, agree, seen = going[still], agree[still], upto
+    return going, agree
+
+
+def best_partners(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Positions of pairs that are the best one of either member; ties go to the smaller partner."""
+    chosen = []
+    for own, partner in ((a, b), (b, a)):
+        order = np.lexsort((partner, -agree, own))
+        chosen.append(order[np.concatenate([[True], own[order][1:] != own[order][:-1]])] if len(order) else order)
+    return np.unique(np.concatenate(chosen))
+
+
+class _Tile:
+    """The members of all tiles of one side of a batch; ``bounds`` says where each tile's begin."""
+
+    def __init__(self, column: pa.ListArray, n: int):
+        flat = column.flatten()
+        self.bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        self.rep, self.label, self.size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "n"))
+        self.code = np.frombuffer(b"".join(flat.field("code").to_pylist()), np.uint8).reshape(-1, n)
+
+
+def compare_tiles(batch: pa.RecordBatch, n: int, rules: list[tuple[int, int]], threshold: int, best_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different components, ``a`` < ``b``, that the signatures of two tiles (or one) let pass.
+
+    The first column has tiles, the second those each is compared with, if there is one: else a tile's
+    members are compared with one another.
+    """
+    one = _Tile(batch.column(0), n)
+    other = _Tile(batch.column(1), n) if batch.num_columns > 1 else one
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def compared() -> tuple[np.ndarray, np.ndarray]:
+        i, j = (np.concatenate(side) for side in zip(*held))
+        held.clear()
+        _, once = np.unique(np.stack([one.rep[i], other.rep[j]]), axis=1, return_index=True)
+        i, j = i[once], j[once]
+        kept, agree = passing(one.code, other.code, i, j, rules)
+        a, b = one.rep[i[kept]], other.rep[j[kept]]
+        chosen = best_partners(a, b, agree) if best_only else slice(None)
+        return np.minimum(a, b)[chosen], np.maximum(a, b)[chosen]
+
+    waiting = 0
+    for row in range(len(batch)):
+        i, j = (np.arange(side.bounds[row], side.bounds[row + 1]) for side in (one, other))
+        apart = one.label[i][:, None] != other.label[j][None, :]
+        x, y = one.size[i][:, None], other.size[j][None, :]
+        apart &= 100 * np.minimum(x, y) >= threshold * np.maximum(x, y)
+        if other is one:
+            apart = np.triu(apart, 1)
+        at_i, at_j = np.nonzero(apart)
+        if len(at_i):
+            held.append((i[at_i], j[at_j]))
+            waiting += len(at_i)
+        if waiting >= _PAIRS_AT_ONCE:
+            yield compared()
+            waiting = 0
+    if held:
+        yield compared()
+
+
 def component_ids(
     docs: DataFrame, words: int = 5, threshold: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = 1e-6
 ) -> DataFrame:
@@ -109,6 +181,8 @@ def component_ids(
 
     Exact copies are linked by their sets' hash before all else. A linked pair is no candidate with
     probability ``(1 - s ** rows) ** bands`` at similarity s (4e-7 at 0.8), and is dropped early with ``miss``.
+    Texts of any length are taken whole. The work on a bucket of texts just below the threshold to one another grows
+    with its square, in blocks of tiles over many tasks; the rows that leave them do not.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -116,7 +190,7 @@ def component_ids(
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(low, _DOCS_AT_ONCE) for whole in batches for low in range(0, len(whole), _DOCS_AT_ONCE)):
-            sizes, one, two, keys, codes, bits = [], [], [], [], [], []
+            sizes, one, two, keys, codes = [], [], [], [], []
             for shingles in shingle_sets(batch.column(1), words):
                 sizes.append(len(shingles))
                 one.append(int(np.bitwise_xor.reduce(shingles)) if len(shingles) else 0)
@@ -128,38 +202,34 @@ def component_ids(
                     for c in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + banded[:, c])
                     keys.append(key.view(np.int64))
-                    short, ones = codes_of(least)
-                    codes.append(short.tobytes())
-                    bits.append(np.packbits(ones).view(np.int64))
+                    codes.append(codes_of(least).tobytes())
                 else:
                     keys.append(np.empty(0, np.int64))
                     codes.append(b"")
-                    bits.append(np.zeros(BITS // 64, np.int64))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(codes, pa.binary()), pa.array([b.tolist() for b in bits], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set1", "set2", "keys", "code", "bits"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(codes, pa.binary())],
+                ["doc_id", "n_shingles", "set1", "set2", "keys", "code"],
             )
             give_back()
 
     own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    sketches = stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, code binary, bits array<long>"), "sketches")
+    sketches = stored(own.mapInArrow(sketch, "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, code binary"), "sketches")
     identity = ["set1", "set2", "n_shingles"]
     placed = sketches.filter("doc_id is not null and n_shingles > 0")
     # Of the documents with one and the same set, the smallest id stands for all.
     sets = stored(placed.groupBy(*identity).agg(F.min("doc_id").alias("rep")), "sets")
     reps = placed.join(sets, identity).filter("doc_id = rep")
     member = reps.select(F.explode("keys").alias("bucket"), "rep")
-    traits = stored(reps.select("rep", F.col("n_shingles").alias("n"), "bits"), "traits")
     centers = member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"), F.count("*").alias("held")).filter("center <> last")
     shared = stored(member.join(centers.drop("last"), "bucket"), "buckets")
     # The text that others were copied from meets more of them than they meet each other, so the member
     # that meets most links most.
     meetings = stored(shared.groupBy("rep").agg(F.sum("held").alias("meets")), "meetings")
     hubs = shared.join(meetings, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("meets", F.bitwise_not("rep"))).alias("hub"))
-    codes = stored(reps.select("rep", "code"), "codes")
+    codes = stored(reps.select("rep", F.col("n_shingles").alias("n"), "code"), "codes")
 
     rules = least_matches(threshold / 100, miss, n)
     texts = own.filter("doc_id is not null")
@@ -167,11 +237,8 @@ def component_ids(
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, n) for c in (2, 3))
-            going, agree, seen = np.arange(len(batch)), np.zeros(len(batch), np.int64), 0
-            for upto, least in rules:
-                agree = agree + (left[going, seen:upto] == right[going, seen:upto]).sum(axis=1)
-                still = agree >= least
-                going, agree, seen = going[still], agree[still], upto
+            own = np.arange(len(batch))
+            going, _ = passing(left, right, own, own, rules)
             yield batch.select([0, 1]).take(pa.array(going))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,40 +250,71 @@ def component_ids(
                     keep.append(row)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Pairs ``a``, ``b`` of representatives whose full sets are similar enough."""
+    def pruned(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (``a``, ``b``, representatives) that the rules let through."""
         coded = pairs.join(codes.select(F.col("rep").alias("a"), F.col("code").alias("code_a")), "a")
         coded = coded.join(codes.select(F.col("rep").alias("b"), F.col("code").alias("code_b")), "b")
-        left = stored(coded.select("a", "b", "code_a", "code_b").mapInArrow(promising, "a long, b long"), "promising")
+        return coded.select("a", "b", "code_a", "code_b").mapInArrow(promising, "a long, b long")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` whose full sets are similar enough."""
+        left = stored(pairs, "promising")
         ids = stored(left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct(), "ids")
         named = stored(texts.join(small(ids), "doc_id"), "texts")
         whole = left.join(named.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         whole = whole.join(named.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         return stored(whole.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), "confirmed")
 
+    def tiled(links: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, about ``TILE`` to a row."""
+        labels = components(links).withColumnRenamed("node", "rep")
+        labelled = shared.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
+        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
+        members = stored(labelled.join(mixed, "bucket").join(codes, "rep"), "mixed")
+        # A component that fills tiles has its own, which needn't be compared with each other; other
+        # members are parted by size, so that tiles too far apart in size aren't compared either.
+        large = stored(members.groupBy("bucket", "label").count().filter(F.col("count") >= TILE).select("bucket", "label", F.lit(True).alias("large")), "large")
+        size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
+        group = {"whose": F.when(F.col("large"), F.col("label")).otherwise(0), "size": F.when(F.col("large"), -1).otherwise(size)}
+        placed = members.join(small(large), ["bucket", "label"], "left").withColumns(group)
+        parts = ["bucket", "whose", "size"]
+        crowded = placed.groupBy(*parts).count().filter(F.col("count") > TILE)
+        crowded = stored(crowded.select(*parts, F.ceil(F.col("count") / TILE).alias("tiles")), "crowded")
+        placed = placed.join(small(crowded), parts, "left")
+        number = F.pmod(F.xxhash64("rep"), F.coalesce("tiles", F.lit(1)))
+        tiles = placed.groupBy(*parts, number.alias("number")).agg(
+            F.collect_list(F.struct("rep", "label", "n", "code")).alias("members"),
+            F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("first"), F.max("label").alias("last"),
+        )
+        return stored(tiles.drop("whose", "size", "number").withColumn("tile", F.monotonically_increasing_id()), "tiles")
+
+    def across(tiles: DataFrame, best_only: bool) -> DataFrame:
+        """Promising pairs of different components, within tiles and between tiles of one bucket."""
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a, b in compare_tiles(batch, n, rules, threshold, best_only):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        within = tiles.filter("first <> last").select("members").mapInArrow(compare, "a long, b long")
+        one, other = (tiles.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("tile", "low", "high", "first", "last")]) for side in "ab")
+        in_reach = f"100 * high_a >= {threshold} * low_b and 100 * high_b >= {threshold} * low_a"
+        one_component = "first_a = last_a and first_b = last_b and first_a = first_b"
+        meet = one.join(other, "bucket").filter(f"tile_a < tile_b and {in_reach} and not ({one_component})").select("tile_a", "tile_b")
+        meet = meet.join(tiles.select(F.col("tile").alias("tile_a"), F.col("members").alias("members_a")), "tile_a")
+        meet = meet.join(tiles.select(F.col("tile").alias("tile_b"), F.col("members").alias("members_b")), "tile_b")
+        between = meet.select("members_a", "members_b").mapInArrow(compare, "a long, b long")
+        return within.unionByName(between).distinct()
+
     # Copies of a set under several ids of which one stands for two sets connect those.
     copies = placed.join(sets, identity).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     to_first = shared.select(F.col("center").alias("other"), "rep")
     to_hub = shared.join(hubs, "bucket").select(F.col("hub").alias("other"), "rep")
     rays = to_first.unionByName(to_hub).filter("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-    stars = confirmed(rays.distinct())
-    labels = components(stars)
-    # Buckets whose members are still in different components: those of each pair of components meet,
-    # as far as their sizes and one-bit signatures let them reach the threshold.
-    labelled = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
-    open_members = stored(labelled.join(mixed, "bucket").join(traits, "rep"), "mixed")
-    sizes = open_members.groupBy("bucket", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, other = (sizes.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "low", "high")]) for side in "ab")
-    in_reach = f"label_a < label_b and 100 * high_a >= {threshold} * low_b and 100 * high_b >= {threshold} * low_a"
-    meet = one.join(other, "bucket").filter(in_reach).select("bucket", "label_a", "label_b")
-    one, other = (open_members.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "rep", "n", "bits")]) for side in "ab")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
-    near = (100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (apart <= BITS - least_matches(threshold / 100, miss, BITS, BITS, 2)[0][1])
-    met = meet.join(one, ["bucket", "label_a"]).join(other, ["bucket", "label_b"]).filter(near)
-    across = met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-    crossing = confirmed(across)
-    final = stored(components(stars.unionByName(crossing).unionByName(copies)), "components")
+    links = confirmed(pruned(rays.distinct()))
+    for best_only in (True, False):
+        links = links.unionByName(confirmed(across(tiled(links), best_only)))
+    final = stored(components(links.unionByName(copies)), "components")
     found = sketches.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -7,6 +7,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -139,15 +140,60 @@ def test_pruning_drops_pairs_below_the_threshold_at_every_length(size):
             both = round(similarity * 2 * size / (1 + similarity))
             words = draw.integers(0, 2**63, 2 * size - both, dtype=np.uint64) * np.uint64(2)
             a, b = (near_dedup.codes_of(near_dedup.signature(np.unique(s), n)) for s in (words[:size], words[size - both :]))
-            agree = a[0] == b[0]
-            through += all(agree[:seen].sum() >= least for seen, least in rules)
-            assert (a[1] == b[1]).sum() > 0.5 * near_dedup.BITS and 0.25 < a[1].mean() < 0.75
+            at = np.zeros(1, np.int64)
+            through += len(near_dedup.passing(a[None, :], b[None, :], at, at, rules)[0])
         return through / 20
 
     assert goes_on(0.66) == 0 and goes_on(0.5) == 0
     assert goes_on(0.8) == 1 and goes_on(0.9) == 1
 
 
+def test_members_of_buckets_meet_in_tiles(make, monkeypatch):
+    """Groups just below and just above the threshold to one another, in tiles of three members."""
+    monkeypatch.setattr(near_dedup, "TILE", 3)
+    draw = random.Random(5)
+    texts = []
+    for edits in (9, 6, 4):  # of 100 words; two copies differ in twice as many places
+        base = [f"g{edits}x{k}" for k in range(100)]
+        for _ in range(25):
+            own = list(base)
+            for k in draw.sample(range(100), edits):
+                own[k] = f"e{draw.randrange(10**9)}"
+            texts.append(" ".join(own))
+    draw.shuffle(texts)
+    rows = near_dedup.component_ids(make(texts), words=1).collect()
+    plain = brute_components(dict(enumerate(texts)), 1, 80)
+    assert {r.doc_id: r.component_id for r in rows} == plain
+    assert len(set(plain.values())) > 3
+
+
+@pytest.mark.parametrize("best_only", [True, False])
+def test_tiles_give_promising_pairs_of_different_components(best_only):
+    n = near_dedup.BANDS * near_dedup.ROWS
+    rules = near_dedup.least_matches(0.8, 1e-6, n)
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 256, n, dtype=np.uint8)
+
+    def member(rep: int, label: int, changed: int, size: int = 100) -> dict:
+        code = base.copy()
+        code[np.arange(changed) * n // max(changed, 1)] += np.uint8(rep + 1)
+        return {"rep": rep, "label": label, "n": size, "code": code.tobytes()}
+
+    kind = pa.list_(pa.struct([("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("code", pa.binary())]))
+    left = [member(0, 0, 0), member(1, 0, 10), member(2, 2, 400), member(3, 3, 20), member(4, 4, 30), member(5, 5, 0, 200)]
+    right = [member(6, 0, 5), member(7, 7, 40)]
+    columns = [pa.array([left, left[:1]], kind), pa.array([right, []], kind)]
+
+    def found(sides: int) -> set:
+        batch = pa.RecordBatch.from_arrays(columns[:sides], ["one", "other"][:sides])
+        return {(int(x), int(y)) for a, b in near_dedup.compare_tiles(batch, n, rules, 80, best_only) for x, y in zip(a, b)}
+
+    # 2 agrees with none of them, 5 is too long, 0 and 1 (and 6) are connected already.
+    every = {(0, 3), (0, 4), (1, 3), (1, 4), (3, 4)}, {(3, 6), (4, 6), (0, 7), (1, 7), (3, 7), (4, 7)}
+    best = {(0, 3), (1, 3), (0, 4), (3, 4)}, {(3, 6), (4, 6), (0, 7), (1, 7)}
+    assert (found(1), found(2)) == (best if best_only else every)
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), max_size=45))
 def test_components_of_random_links(spark, links):
