@@ -6,10 +6,11 @@ reaches the threshold is below the miss probability. What survives is confirmed
 
 Pairs are never made within a bucket. Each member is held against the bucket's smallest one and the
 one that meets most others; what that links falls into components. Buckets that still hold several
-components are cut into tiles of a few hundred members, and the signatures of two tiles are compared
-inside a task: only pairs of different components that pass the rules leave it. In a first round each member of a tile
-pair leaves with its best partner alone, which mostly connects a group; a second one has every pair
-that is still unconnected. So every candidate is either compared or already connected.
+components are cut into tiles of a few hundred members, and two tiles are compared inside a task, signatures
+first and then the full sets of what passes: only links between different components leave it, each
+from the first bucket its members share. In a first round each member of a tile pair leaves with its best
+partner alone, which mostly connects a group; a second one has every link that still joins two
+components. So every candidate is either compared or already connected.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from clickloom.session import ship_package
 
 BANDS, ROWS = 80, 8
 BATCH = 64
-# Members of a bucket that are compared with one another at a time, about.
-TILE = 256
+# Members of a bucket that are compared with one another at a time, and shingles of them, about.
+TILE, TILE_SHINGLES = 256, 500_000
 _PAIRS_AT_ONCE = 1 << 17
 _CELLS = 1 << 17
 _DOCS_AT_ONCE = 500
@@ -78,6 +79,20 @@ def codes_of(least: np.ndarray) -> np.ndarray:
     return (mix(least.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
 
 
+def band_keys(codes: np.ndarray, bands: int) -> np.ndarray:
+    """A key for each band of the rows of ``codes``: equal where all codes of the band are."""
+    banded = codes.reshape(len(codes), bands, -1).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), banded.shape[:2])
+    for c in range(banded.shape[2]):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + banded[:, :, c])
+    return keys
+
+
+def similar_sets(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return bool(common) and 100 * common >= threshold * (len(a) + len(b) - common)
+
+
 def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, values: int = 256) -> list[tuple[int, int]]:
     """After how many compared components how many have to agree, for the pair to go on.
 
@@ -126,25 +141,35 @@ class _Tile:
         self.bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
         self.rep, self.label, self.size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "n"))
         self.code = np.frombuffer(b"".join(flat.field("code").to_pylist()), np.uint8).reshape(-1, n)
+        self._sets = flat.field("shingles")
 
+    def set_of(self, member: int) -> np.ndarray:
+        return np.frombuffer(self._sets[int(member)].as_buffer(), np.uint64)
 
-def compare_tiles(batch: pa.RecordBatch, n: int, rules: list[tuple[int, int]], threshold: int, best_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different components, ``a`` < ``b``, that the signatures of two tiles (or one) let pass.
 
-    The first column has tiles, the second those each is compared with, if there is one: else a tile's
-    members are compared with one another.
+def compare_tiles(
+    batch: pa.RecordBatch, bands: int, n: int, rules: list[tuple[int, int]], threshold: int, best_only: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links ``a`` < ``b`` of different components, of members that share no bucket of an earlier band.
+
+    The first column is the band of each row's bucket, the second has tiles, the third those each is
+    compared with, if there is one: else a tile's members are compared with one another.
     """
-    one = _Tile(batch.column(0), n)
-    other = _Tile(batch.column(1), n) if batch.num_columns > 1 else one
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    band = batch.column(0).to_numpy()
+    one = _Tile(batch.column(1), n)
+    other = _Tile(batch.column(2), n) if batch.num_columns > 2 else one
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def compared() -> tuple[np.ndarray, np.ndarray]:
-        i, j = (np.concatenate(side) for side in zip(*held))
+        i, j, of_band = (np.concatenate(side) for side in zip(*held))
         held.clear()
-        _, once = np.unique(np.stack([one.rep[i], other.rep[j]]), axis=1, return_index=True)
-        i, j = i[once], j[once]
         kept, agree = passing(one.code, other.code, i, j, rules)
-        a, b = one.rep[i[kept]], other.rep[j[kept]]
+        i, j = i[kept], j[kept]
+        shared = band_keys(one.code[i], bands) == band_keys(other.code[j], bands)
+        new = ~(shared & (np.arange(bands) < of_band[kept][:, None])).any(axis=1)
+        i, j, agree = i[new], j[new], agree[new]
+        linked = np.fromiter((similar_sets(one.set_of(x), other.set_of(y), threshold) for x, y in zip(i, j)), bool, len(i))
+        a, b, agree = one.rep[i[linked]], other.rep[j[linked]], agree[linked]
         chosen = best_partners(a, b, agree) if best_only else slice(None)
         return np.minimum(a, b)[chosen], np.maximum(a, b)[chosen]
 
@@ -158,7 +183,7 @@ def compare_tiles(batch: pa.RecordBatch, n: int, rules: list[tuple[int, int]], t
             apart = np.triu(apart, 1)
         at_i, at_j = np.nonzero(apart)
         if len(at_i):
-            held.append((i[at_i], j[at_j]))
+            held.append((i[at_i], j[at_j], np.full(len(at_i), band[row])))
             waiting += len(at_i)
         if waiting >= _PAIRS_AT_ONCE:
             yield compared()
@@ -197,12 +222,9 @@ def component_ids(
                 two.append(int(np.add.reduce(mix(shingles + np.uint64(7)))) if len(shingles) else 0)
                 if len(shingles):
                     least = signature(shingles, n)
-                    banded = least.reshape(bands, rows).astype(np.uint64)
-                    key = np.arange(bands, dtype=np.uint64)
-                    for c in range(rows):
-                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + banded[:, c])
-                    keys.append(key.view(np.int64))
-                    codes.append(codes_of(least).tobytes())
+                    short = codes_of(least)
+                    keys.append(band_keys(short[None, :], bands)[0].view(np.int64))
+                    codes.append(short.tobytes())
                 else:
                     keys.append(np.empty(0, np.int64))
                     codes.append(b"")
@@ -222,14 +244,14 @@ def component_ids(
     # Of the documents with one and the same set, the smallest id stands for all.
     sets = stored(placed.groupBy(*identity).agg(F.min("doc_id").alias("rep")), "sets")
     reps = placed.join(sets, identity).filter("doc_id = rep")
-    member = reps.select(F.explode("keys").alias("bucket"), "rep")
+    member = reps.select(F.posexplode("keys").alias("band", "bucket"), "rep")
     centers = member.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"), F.count("*").alias("held")).filter("center <> last")
     shared = stored(member.join(centers.drop("last"), "bucket"), "buckets")
     # The text that others were copied from meets more of them than they meet each other, so the member
     # that meets most links most.
     meetings = stored(shared.groupBy("rep").agg(F.sum("held").alias("meets")), "meetings")
     hubs = shared.join(meetings, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("meets", F.bitwise_not("rep"))).alias("hub"))
-    codes = stored(reps.select("rep", F.col("n_shingles").alias("n"), "code"), "codes")
+    codes = stored(reps.select("rep", "set1", F.col("n_shingles").alias("n"), "code"), "codes")
 
     rules = least_matches(threshold / 100, miss, n)
     texts = own.filter("doc_id is not null")
@@ -243,13 +265,16 @@ def component_ids(
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for row, (a, b) in enumerate(zip(shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words))):
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if common and 100 * common >= threshold * (len(a) + len(b) - common):
-                    keep.append(row)
+            pairs = zip(shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words))
+            keep = [row for row, (a, b) in enumerate(pairs) if similar_sets(a, b, threshold)]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(low, _DOCS_AT_ONCE) for whole in batches for low in range(0, len(whole), _DOCS_AT_ONCE)):
+            sets = list(shingle_sets(batch.column(1), words))
+            set1 = np.array([np.bitwise_xor.reduce(own) for own in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set1), pa.array([own.tobytes() for own in sets], pa.binary())], ["rep", "set1", "shingles"])
+
     def pruned(pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (``a``, ``b``, representatives) that the rules let through."""
         coded = pairs.join(codes.select(F.col("rep").alias("a"), F.col("code").alias("code_a")), "a")
@@ -268,9 +293,14 @@ def component_ids(
     def tiled(links: DataFrame) -> DataFrame:
         """Members of the buckets that hold several components, about ``TILE`` to a row."""
         labels = components(links).withColumnRenamed("node", "rep")
-        labelled = shared.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
+        labelled = shared.join(labels, "rep", "left").select("bucket", "band", "rep", F.coalesce("label", "rep").alias("label"))
         mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
-        members = stored(labelled.join(mixed, "bucket").join(codes, "rep"), "mixed")
+        members = stored(labelled.join(mixed, "bucket"), "mixed")
+        ids = stored(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+        # A document's rows may differ in text: then it stands for several sets.
+        sets_of = texts.join(small(ids), "doc_id").mapInArrow(full_sets, "rep long, set1 long, shingles binary")
+        told = codes.join(sets_of.dropDuplicates(["rep", "set1"]), ["rep", "set1"])
+        members = stored(members.join(stored(told, "sets"), "rep"), "members")
         # A component that fills tiles has its own, which needn't be compared with each other; other
         # members are parted by size, so that tiles too far apart in size aren't compared either.
         large = stored(members.groupBy("bucket", "label").count().filter(F.col("count") >= TILE).select("bucket", "label", F.lit(True).alias("large")), "large")
@@ -278,32 +308,32 @@ def component_ids(
         group = {"whose": F.when(F.col("large"), F.col("label")).otherwise(0), "size": F.when(F.col("large"), -1).otherwise(size)}
         placed = members.join(small(large), ["bucket", "label"], "left").withColumns(group)
         parts = ["bucket", "whose", "size"]
-        crowded = placed.groupBy(*parts).count().filter(F.col("count") > TILE)
-        crowded = stored(crowded.select(*parts, F.ceil(F.col("count") / TILE).alias("tiles")), "crowded")
+        tiles_of = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES))
+        crowded = stored(placed.groupBy(*parts).agg(tiles_of.alias("tiles")).filter("tiles > 1"), "crowded")
         placed = placed.join(small(crowded), parts, "left")
         number = F.pmod(F.xxhash64("rep"), F.coalesce("tiles", F.lit(1)))
         tiles = placed.groupBy(*parts, number.alias("number")).agg(
-            F.collect_list(F.struct("rep", "label", "n", "code")).alias("members"),
+            F.min("band").alias("band"), F.collect_list(F.struct("rep", "label", "n", "code", "shingles")).alias("members"),
             F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("first"), F.max("label").alias("last"),
         )
         return stored(tiles.drop("whose", "size", "number").withColumn("tile", F.monotonically_increasing_id()), "tiles")
 
     def across(tiles: DataFrame, best_only: bool) -> DataFrame:
-        """Promising pairs of different components, within tiles and between tiles of one bucket."""
+        """Links between different components, within tiles and between tiles of one bucket."""
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for a, b in compare_tiles(batch, n, rules, threshold, best_only):
+                for a, b in compare_tiles(batch, bands, n, rules, threshold, best_only):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-        within = tiles.filter("first <> last").select("members").mapInArrow(compare, "a long, b long")
+        within = tiles.filter("first <> last").select("band", "members").mapInArrow(compare, "a long, b long")
         one, other = (tiles.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("tile", "low", "high", "first", "last")]) for side in "ab")
         in_reach = f"100 * high_a >= {threshold} * low_b and 100 * high_b >= {threshold} * low_a"
         one_component = "first_a = last_a and first_b = last_b and first_a = first_b"
         meet = one.join(other, "bucket").filter(f"tile_a < tile_b and {in_reach} and not ({one_component})").select("tile_a", "tile_b")
-        meet = meet.join(tiles.select(F.col("tile").alias("tile_a"), F.col("members").alias("members_a")), "tile_a")
+        meet = meet.join(tiles.select(F.col("tile").alias("tile_a"), "band", F.col("members").alias("members_a")), "tile_a")
         meet = meet.join(tiles.select(F.col("tile").alias("tile_b"), F.col("members").alias("members_b")), "tile_b")
-        between = meet.select("members_a", "members_b").mapInArrow(compare, "a long, b long")
+        between = meet.select("band", "members_a", "members_b").mapInArrow(compare, "a long, b long")
         return within.unionByName(between).distinct()
 
     # Copies of a set under several ids of which one stands for two sets connect those.
@@ -313,7 +343,7 @@ def component_ids(
     rays = to_first.unionByName(to_hub).filter("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     links = confirmed(pruned(rays.distinct()))
     for best_only in (True, False):
-        links = links.unionByName(confirmed(across(tiled(links), best_only)))
+        links = links.unionByName(stored(across(tiled(links), best_only), "links"))
     final = stored(components(links.unionByName(copies)), "components")
     found = sketches.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")

@@ -122,6 +122,14 @@ def test_large_groups_make_no_pairs(make):
     assert {r.component_id for r in rows} == {0}
 
 
+def test_a_document_of_several_texts_keeps_the_links_of_each(make):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    near = [text.rsplit(" ", 1)[0] + " end" for text in (one, two)]
+    rows = [(5, one, "en", "s", 0), (5, two, "en", "s", 0), (7, near[0], "en", "s", 0), (3, near[1], "en", "s", 0), (9, three, "en", "s", 0)]
+    found = {r.doc_id: r.component_id for r in near_dedup.component_ids(make(rows), words=2).collect()}
+    assert found == {3: 3, 5: 3, 7: 3, 9: 9}
+
+
 def test_pruning_rules_keep_similar_pairs():
     rules = near_dedup.least_matches(0.8, 1e-6, 240)
     assert rules[-1][0] == 240 and all(a < b for a, b in zip(rules, rules[1:]))
@@ -177,21 +185,24 @@ def test_tiles_give_promising_pairs_of_different_components(best_only):
     def member(rep: int, label: int, changed: int, size: int = 100) -> dict:
         code = base.copy()
         code[np.arange(changed) * n // max(changed, 1)] += np.uint8(rep + 1)
-        return {"rep": rep, "label": label, "n": size, "code": code.tobytes()}
+        shingles = np.arange(size if rep != 7 else 60, dtype=np.uint64)  # 7 has too few in common with all
+        return {"rep": rep, "label": label, "n": size, "code": code.tobytes(), "shingles": shingles.tobytes()}
 
-    kind = pa.list_(pa.struct([("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("code", pa.binary())]))
+    kind = pa.list_(pa.struct([("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("code", pa.binary()), ("shingles", pa.binary())]))
     left = [member(0, 0, 0), member(1, 0, 10), member(2, 2, 400), member(3, 3, 20), member(4, 4, 30), member(5, 5, 0, 200)]
     right = [member(6, 0, 5), member(7, 7, 40)]
-    columns = [pa.array([left, left[:1]], kind), pa.array([right, []], kind)]
+    columns = [pa.array([0, 0]), pa.array([left, left[:1]], kind), pa.array([right, []], kind)]
 
     def found(sides: int) -> set:
-        batch = pa.RecordBatch.from_arrays(columns[:sides], ["one", "other"][:sides])
-        return {(int(x), int(y)) for a, b in near_dedup.compare_tiles(batch, n, rules, 80, best_only) for x, y in zip(a, b)}
+        batch = pa.RecordBatch.from_arrays(columns[: sides + 1], ["band", "one", "other"][: sides + 1])
+        return {(int(x), int(y)) for a, b in near_dedup.compare_tiles(batch, near_dedup.BANDS, n, rules, 80, best_only) for x, y in zip(a, b)}
 
     # 2 agrees with none of them, 5 is too long, 0 and 1 (and 6) are connected already.
-    every = {(0, 3), (0, 4), (1, 3), (1, 4), (3, 4)}, {(3, 6), (4, 6), (0, 7), (1, 7), (3, 7), (4, 7)}
-    best = {(0, 3), (1, 3), (0, 4), (3, 4)}, {(3, 6), (4, 6), (0, 7), (1, 7)}
+    every = {(0, 3), (0, 4), (1, 3), (1, 4), (3, 4)}, {(3, 6), (4, 6)}
+    best = {(0, 3), (1, 3), (0, 4), (3, 4)}, {(3, 6), (4, 6)}
     assert (found(1), found(2)) == (best if best_only else every)
+    columns[0] = pa.array([near_dedup.BANDS - 1] * 2)  # all of them share a bucket of an earlier band
+    assert (found(1), found(2)) == (set(), set())
 
 
 @settings(max_examples=8, deadline=None)
