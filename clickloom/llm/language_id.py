@@ -25,6 +25,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 13
 _CHARACTERS = 1 << 18
 _SPREAD = 1 << 20
+# Values of ``lang``, four centroids each: 130 MB of centroids at most.
+MOST_LANGUAGES = 500
 
 
 @lru_cache(maxsize=1)
@@ -105,9 +107,10 @@ def fit(training: DataFrame, clusters: int = 4, sample_per_language: int = 800,
     """A model from the columns ``text`` and ``lang``; rows where either is null or has no letter don't count.
 
     Document frequencies cover every row. Centroids are fitted to ``sample_per_language`` rows (at most
-    1000) of each language, those of the smallest text hash, so that the fit is the same at any
-    partitioning; repeated texts are the same row of the sample once at most per copy. Without rows
-    the model knows no language.
+    1000) of each language with different texts, those of the smallest text hash, so that the fit is the
+    same at any partitioning; a language of few texts has all of them, however often they are repeated. Without rows
+    the model knows no language. The model is held by every task: more than ``MOST_LANGUAGES`` values of
+    ``lang`` raise.
     """
     spark = training.sparkSession
     ship_package(spark)
@@ -131,12 +134,12 @@ def fit(training: DataFrame, clusters: int = 4, sample_per_language: int = 800,
     df[counted.bucket.to_numpy(np.int64)] = counted.n.to_numpy(np.float64)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
 
-    # A share of each language's rows that holds a few times the sample, then the smallest hashes of it.
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # A share of each language's different texts that holds a few times the sample, then the smallest hashes of it.
+    texts = rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("texts"))
+    if (languages := texts.count()) > MOST_LANGUAGES:
+        raise ValueError(f"{languages} values of lang; at most {MOST_LANGUAGES} can be told apart")
     place = F.pmod(F.xxhash64("text", "lang"), F.lit(_SPREAD))
-    near = rows.join(F.broadcast(sizes) if sizes.limit(10_001).count() <= 10_000 else sizes, "lang").filter(
-        place * F.col("n") < F.lit(4 * sample_per_language * _SPREAD)
-    )
+    near = rows.join(F.broadcast(texts), "lang").filter(place * F.col("texts") < F.lit(4 * sample_per_language * _SPREAD)).select("lang", "text").distinct()
     first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("text", "lang"), "text"))
     sample = near.select("lang", "text", first.alias("place")).filter(F.col("place") <= min(sample_per_language, 1000)).drop("place")
 

@@ -40,6 +40,17 @@ def test_language_of_awkward_rows(spark, make, awkward, nothing):
     assert none.languages == () and language_id.identify(make(["text"]), none).first().nearest == "und"
 
 
+def test_no_language_is_lost_to_repeated_texts(spark):
+    """Many rows of a language in two texts only, beside many different ones of another."""
+    few = spark.range(20_000).selectExpr("if(id % 2 = 0, 'der Hund und die Katze', 'ein Haus am See') text", "'de' lang")
+    many = spark.range(40_000).selectExpr("concat('the house number ', id, ' is on the hill') text", "'en' lang")
+    model = language_id.fit(few.unionByName(many))
+    assert set(model.languages) == {"de", "en"}
+    assert model.nearest("die Katze und der Hund")[0] == "de" and model.nearest("the hill is on the house")[0] == "en"
+    with pytest.raises(ValueError, match="values of lang"):
+        language_id.fit(spark.range(language_id.MOST_LANGUAGES + 1).selectExpr("'a' text", "string(id) lang"))
+
+
 def test_counts_of_a_long_text_do_not_depend_on_its_parts(monkeypatch):
     text = "".join(random.Random(1).choice("ab c,d  é") for _ in range(5000))
     whole = language_id.gram_counts(text)
