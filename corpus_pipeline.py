@@ -5,6 +5,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +18,15 @@ from clickloom.session import scratch_path
 CAPACITY = 4096
 
 
-def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """The columns of ``docs``, the number of characters as it is after a change of the text."""
+def _text_changed(docs: DataFrame, change: Callable[[DataFrame], DataFrame], made: tuple[str, ...]) -> DataFrame:
+    """``docs`` with the texts that ``change`` gives, the number of characters as it is then.
+
+    ``change`` adds the columns ``made``. Columns of ``docs`` with such names are its own and stay as they are.
+    """
+    aside = {c: f"__own_{k}" for k, c in enumerate(docs.columns) if c.lower() in made}
+    changed = change(docs.withColumnsRenamed(aside))
     n_chars = F.length("text").cast("long").alias("n_chars")
-    return changed.select(*[n_chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    return changed.select(*[n_chars if c == "n_chars" else F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +36,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def delete_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later copies of repeated line runs."""
-    return _like(docs, line_dedup.delete_repeated_lines(docs))
+    return _text_changed(docs, line_dedup.delete_repeated_lines, ("n_lines", "n_removed"))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +46,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def delete_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of 50 words or more that an earlier one has."""
-    return _like(docs, substring_dedup.delete_repeats(docs, window=50))
+    return _text_changed(docs, partial(substring_dedup.delete_repeats, window=50), ("n_words", "n_removed"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

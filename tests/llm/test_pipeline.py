@@ -51,3 +51,11 @@ def test_run_is_the_stages(spark):
     rows = corpus_pipeline.run(spark, TINY)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert rows.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= corpus_pipeline.CAPACITY
+
+
+def test_own_columns_of_clashing_names_stay(awkward):
+    docs = awkward.withColumn("n_words", F.col("doc_id")).withColumn("n_lines", F.lit("mine"))
+    for stage in (corpus_pipeline.delete_lines, corpus_pipeline.delete_passages):
+        out = stage(None, docs, "")
+        assert out.columns == docs.columns and out.count() == docs.count()
+        assert all(r.n_removed == "mine" and r.n_lines == "mine" and r.n_words == r.doc_id for r in out.collect())
