@@ -7,9 +7,10 @@ reaches the threshold is below the miss probability. What survives is confirmed
 Pairs are never made within a bucket. Each member is held against the bucket's smallest one and the
 one that meets most others; what that links falls into components. Buckets that still hold several
 components are cut into tiles of a few hundred members, and two tiles are compared inside a task, signatures
-first and then the full sets of what passes: only links between different components leave it, each
-from the first bucket its members share. In a first round each member of a tile pair leaves with its best
-partner alone, which mostly connects a group; a second one has every link that still joins two
+first and then, in buckets of more than ``FEW`` members, the short hashes of their full sets, which bound the similarity
+from above: only promising pairs of different components leave it, each
+from the first bucket its members share, and are confirmed. In a first round each member of a tile pair leaves with its best
+partner alone, which mostly connects a group; a second one has every pair that is still in two
 components. So every candidate is either compared or already connected.
 """
 
@@ -33,6 +34,8 @@ BANDS, ROWS = 80, 8
 BATCH = 64
 # Members of a bucket that are compared with one another at a time, and shingles of them, about.
 TILE, TILE_SHINGLES = 256, 500_000
+# A bucket of so many members can't make many pairs.
+FEW = 32
 _PAIRS_AT_ONCE = 1 << 17
 _CELLS = 1 << 17
 _DOCS_AT_ONCE = 500
@@ -93,6 +96,13 @@ def similar_sets(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return bool(common) and 100 * common >= threshold * (len(a) + len(b) - common)
 
 
+def may_be_similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Whether sets with these sorted short hashes can reach the threshold: equal hashes may be one shingle."""
+    own, other = np.unique(a), np.unique(b)
+    common = len(np.intersect1d(own, other, assume_unique=True)) + min(len(a) - len(own), len(b))
+    return 100 * common >= threshold * (len(a) + len(b) - common)
+
+
 def least_matches(threshold: float, miss: float, n: int, batch: int = BATCH, values: int = 256) -> list[tuple[int, int]]:
     """After how many compared components how many have to agree, for the pair to go on.
 
@@ -143,14 +153,15 @@ class _Tile:
         self.code = np.frombuffer(b"".join(flat.field("code").to_pylist()), np.uint8).reshape(-1, n)
         self._sets = flat.field("shingles")
 
-    def set_of(self, member: int) -> np.ndarray:
-        return np.frombuffer(self._sets[int(member)].as_buffer(), np.uint64)
+    def set_of(self, member: int) -> np.ndarray | None:
+        held = self._sets[int(member)]
+        return np.frombuffer(held.as_buffer(), np.uint32) if held.is_valid else None
 
 
 def compare_tiles(
     batch: pa.RecordBatch, bands: int, n: int, rules: list[tuple[int, int]], threshold: int, best_only: bool
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links ``a`` < ``b`` of different components, of members that share no bucket of an earlier band.
+    """Promising pairs ``a`` < ``b`` of different components, of members that share no bucket of an earlier band.
 
     The first column is the band of each row's bucket, the second has tiles, the third those each is
     compared with, if there is one: else a tile's members are compared with one another.
@@ -168,7 +179,8 @@ def compare_tiles(
         shared = band_keys(one.code[i], bands) == band_keys(other.code[j], bands)
         new = ~(shared & (np.arange(bands) < of_band[kept][:, None])).any(axis=1)
         i, j, agree = i[new], j[new], agree[new]
-        linked = np.fromiter((similar_sets(one.set_of(x), other.set_of(y), threshold) for x, y in zip(i, j)), bool, len(i))
+        sets = ((one.set_of(x), other.set_of(y)) for x, y in zip(i, j))
+        linked = np.fromiter((x is None or y is None or may_be_similar(x, y, threshold) for x, y in sets), bool, len(i))
         a, b, agree = one.rep[i[linked]], other.rep[j[linked]], agree[linked]
         chosen = best_partners(a, b, agree) if best_only else slice(None)
         return np.minimum(a, b)[chosen], np.maximum(a, b)[chosen]
@@ -273,7 +285,7 @@ def component_ids(
         for batch in (whole.slice(low, _DOCS_AT_ONCE) for whole in batches for low in range(0, len(whole), _DOCS_AT_ONCE)):
             sets = list(shingle_sets(batch.column(1), words))
             set1 = np.array([np.bitwise_xor.reduce(own) for own in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set1), pa.array([own.tobytes() for own in sets], pa.binary())], ["rep", "set1", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set1), pa.array([(own >> np.uint64(32)).astype(np.uint32).tobytes() for own in sets], pa.binary())], ["rep", "set1", "shingles"])
 
     def pruned(pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (``a``, ``b``, representatives) that the rules let through."""
@@ -293,14 +305,13 @@ def component_ids(
     def tiled(links: DataFrame) -> DataFrame:
         """Members of the buckets that hold several components, about ``TILE`` to a row."""
         labels = components(links).withColumnRenamed("node", "rep")
-        labelled = shared.join(labels, "rep", "left").select("bucket", "band", "rep", F.coalesce("label", "rep").alias("label"))
+        labelled = shared.join(labels, "rep", "left").select("bucket", "band", "held", "rep", F.coalesce("label", "rep").alias("label"))
         mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
-        members = stored(labelled.join(mixed, "bucket"), "mixed")
-        ids = stored(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
         # A document's rows may differ in text: then it stands for several sets.
-        sets_of = texts.join(small(ids), "doc_id").mapInArrow(full_sets, "rep long, set1 long, shingles binary")
-        told = codes.join(sets_of.dropDuplicates(["rep", "set1"]), ["rep", "set1"])
-        members = stored(members.join(stored(told, "sets"), "rep"), "members")
+        members = stored(labelled.join(mixed, "bucket").join(codes.drop("code"), "rep"), "mixed")
+        ids = stored(members.filter(F.col("held") > FEW).select(F.col("rep").alias("doc_id")).distinct(), "ids")
+        short = texts.join(small(ids), "doc_id").mapInArrow(full_sets, "rep long, set1 long, shingles binary")
+        short = stored(short.dropDuplicates(["rep", "set1"]), "sets")
         # A component that fills tiles has its own, which needn't be compared with each other; other
         # members are parted by size, so that tiles too far apart in size aren't compared either.
         large = stored(members.groupBy("bucket", "label").count().filter(F.col("count") >= TILE).select("bucket", "label", F.lit(True).alias("large")), "large")
@@ -311,6 +322,9 @@ def component_ids(
         tiles_of = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES))
         crowded = stored(placed.groupBy(*parts).agg(tiles_of.alias("tiles")).filter("tiles > 1"), "crowded")
         placed = placed.join(small(crowded), parts, "left")
+        many = placed.filter(F.col("held") > FEW).join(short, ["rep", "set1"])
+        placed = many.unionByName(placed.filter(F.col("held") <= FEW).withColumn("shingles", F.lit(None).cast("binary")))
+        placed = placed.join(codes.drop("n"), ["rep", "set1"])
         number = F.pmod(F.xxhash64("rep"), F.coalesce("tiles", F.lit(1)))
         tiles = placed.groupBy(*parts, number.alias("number")).agg(
             F.min("band").alias("band"), F.collect_list(F.struct("rep", "label", "n", "code", "shingles")).alias("members"),
@@ -319,7 +333,7 @@ def component_ids(
         return stored(tiles.drop("whose", "size", "number").withColumn("tile", F.monotonically_increasing_id()), "tiles")
 
     def across(tiles: DataFrame, best_only: bool) -> DataFrame:
-        """Links between different components, within tiles and between tiles of one bucket."""
+        """Promising pairs of different components, within tiles and between tiles of one bucket."""
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -343,7 +357,7 @@ def component_ids(
     rays = to_first.unionByName(to_hub).filter("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     links = confirmed(pruned(rays.distinct()))
     for best_only in (True, False):
-        links = links.unionByName(stored(across(tiled(links), best_only), "links"))
+        links = links.unionByName(confirmed(across(tiled(links), best_only)))
     final = stored(components(links.unionByName(copies)), "components")
     found = sketches.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")

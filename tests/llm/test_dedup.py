@@ -159,6 +159,7 @@ def test_pruning_drops_pairs_below_the_threshold_at_every_length(size):
 def test_members_of_buckets_meet_in_tiles(make, monkeypatch):
     """Groups just below and just above the threshold to one another, in tiles of three members."""
     monkeypatch.setattr(near_dedup, "TILE", 3)
+    monkeypatch.setattr(near_dedup, "FEW", 4)
     draw = random.Random(5)
     texts = []
     for edits in (9, 6, 4):  # of 100 words; two copies differ in twice as many places
@@ -185,7 +186,7 @@ def test_tiles_give_promising_pairs_of_different_components(best_only):
     def member(rep: int, label: int, changed: int, size: int = 100) -> dict:
         code = base.copy()
         code[np.arange(changed) * n // max(changed, 1)] += np.uint8(rep + 1)
-        shingles = np.arange(size if rep != 7 else 60, dtype=np.uint64)  # 7 has too few in common with all
+        shingles = np.arange(size if rep != 7 else 60, dtype=np.uint32)  # 7 has too few in common with all
         return {"rep": rep, "label": label, "n": size, "code": code.tobytes(), "shingles": shingles.tobytes()}
 
     kind = pa.list_(pa.struct([("rep", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("code", pa.binary()), ("shingles", pa.binary())]))
