@@ -84,7 +84,7 @@ def codes_of(least: np.ndarray) -> np.ndarray:
 
 def band_keys(codes: np.ndarray, bands: int) -> np.ndarray:
     """A key for each band of the rows of ``codes``: equal where all codes of the band are."""
-    banded = codes.reshape(len(codes), bands, -1).astype(np.uint64)
+    banded = codes.reshape(len(codes), bands, codes.shape[1] // bands).astype(np.uint64)
     keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), banded.shape[:2])
     for c in range(banded.shape[2]):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + banded[:, :, c])

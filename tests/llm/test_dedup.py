@@ -202,6 +202,7 @@ def test_tiles_give_promising_pairs_of_different_components(best_only):
     every = {(0, 3), (0, 4), (1, 3), (1, 4), (3, 4)}, {(3, 6), (4, 6)}
     best = {(0, 3), (1, 3), (0, 4), (3, 4)}, {(3, 6), (4, 6)}
     assert (found(1), found(2)) == (best if best_only else every)
+    assert near_dedup.band_keys(np.empty((0, n), np.uint8), near_dedup.BANDS).shape == (0, near_dedup.BANDS)
     columns[0] = pa.array([near_dedup.BANDS - 1] * 2)  # all of them share a bucket of an earlier band
     assert (found(1), found(2)) == (set(), set())
 
