@@ -1,6 +1,7 @@
 """Packing of token sequences into as few bins as possible: hierarchical residual best-fit.
 
-Each task packs the items it has best-fit, largest first. Bins that are nearly full are final; the
+Items are dealt out evenly and mixed in size, as many to a task as their number says, so that bins hardly
+depend on how the input is partitioned. Each task packs what it has best-fit, largest first. Bins that are nearly full are final; the
 others go on as items of the next round, where they are dealt out anew to fewer tasks and packed
 best-fit once more, until a round no longer saves anything. A bin carries its members along, so no
 join brings them back together, and the data of a round is what the round before left underfull.
@@ -15,10 +16,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.texts import Memo
+from clickloom.llm.storage import stored
+from clickloom.llm.texts import Memo, slices, utf8
 from clickloom.session import scratch_path, ship_package
 
 # Items that one task packs at a time in the first round, and bins that one task of a later round gets.
@@ -29,6 +32,9 @@ LEAST_SAVED = 0.005
 _MARKS = r"([!-&(-/:-@\[-`{-~]*)"
 _CORE = re.compile(_MARKS + r"(\w+)" + _MARKS + r"\Z").match
 _CHUNKS_KEPT, _WORDS_KEPT = 350_000, 500_000
+# Bytes of text that are encoded at a time; a longer text is encoded alone.
+_BYTES_AT_ONCE = 4 << 20
+_PROBES = ["a", "It's", "don't,", "x=1;", "\u00c9t\u00e9", "42"]
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -69,9 +75,12 @@ def pack_best_fit(items: DataFrame, length: str = "length", capacity: int = 4096
     """
     spark = items.sparkSession
     ship_package(spark)
-    items = items.drop("sequence_id", "offset")
+    # Written before it is dealt out, so that its rows are made once and counted.
+    items = stored(items.drop("sequence_id", "offset"), "items")
     payload = items.columns
-    single = items.select(
+    groups = max(1, -(-items.count() // ITEMS_PER_TASK))
+    # Dealt out in turns, after a sort by hash within each partition: equal rows don't meet in one task.
+    single = items.repartition(groups).select(
         F.col(length).cast("int").alias("fill"),
         F.array(F.struct(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row"), F.lit(0).alias("offset"))).alias("members"),
     )
@@ -166,6 +175,13 @@ def id_encoder(path: str):
     def ids(text: str) -> np.ndarray:
         return np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def apart(gap: str) -> bool:
+        return all(np.array_equal(ids(a + gap + b), np.concatenate([ids(a), ids(b)])) for a in _PROBES for b in _PROBES)
+
+    # Other vocabularies may have tokens across white space: the library then gets whole texts.
+    if getattr(library.model, "end_of_word_suffix", None) != "</w>" or not (apart(" ") and apart(" \n")):
+        return lambda texts: (ids(text).tobytes() for text in (texts.to_pylist() if isinstance(texts, pa.Array) else texts))
+
     special = [token.content for token in library.get_added_tokens_decoder().values()]
     words: dict[str, bytes] = {}
 
@@ -209,17 +225,29 @@ def id_encoder(path: str):
         return data + marks[tail] if tail else data
 
     marks = Memo(lambda mark: ids(mark).tobytes(), 10_000)
-    chunks = Memo(lambda chunk: put_together(chunk, core(chunk)), _CHUNKS_KEPT)
+    chunks: dict[str, bytes] = {}
 
-    def encode(texts: list[str]) -> Iterator[bytes]:
+    def encode(texts: pa.Array | list[str]) -> Iterator[bytes]:
         # White space never lies within a token, so that a text's ids are those of its chunks in order.
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        unseen = {chunk: core(chunk) for chunk in set().union(*split).difference(chunks)}
-        learn(list({found[1] for found in unseen.values() if found}.difference(words)))
-        if len(chunks) + len(unseen) > _CHUNKS_KEPT:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(chunks.get, names))
+        parts = {k: core(names[k]) for k, data in enumerate(found) if data is None}
+        learn(list({part[1] for part in parts.values() if part}.difference(words)))
+        for k, part in parts.items():
+            found[k] = put_together(names[k], part)
+        if len(chunks) + len(parts) > _CHUNKS_KEPT:
             chunks.clear()
-        chunks.update((chunk, put_together(chunk, found)) for chunk, found in unseen.items())
-        return (b"".join(map(chunks.__getitem__, row)) for row in split)
+            chunks.update(zip(names[:_CHUNKS_KEPT], found))
+        else:
+            chunks.update((names[k], found[k]) for k in parts)
+        data = pa.array(found, pa.large_binary()).take(coded.indices)
+        held, ends_at = data.buffers()[2], np.frombuffer(data.buffers()[1], np.int64)
+        bounds = ends_at[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        everything = memoryview(held) if held is not None else memoryview(b"")
+        return (bytes(everything[low:high]) for low, high in zip(bounds[:-1], bounds[1:]))
 
     return encode
 
@@ -238,11 +266,10 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 40
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = id_encoder(path)
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                part = batch.slice(low, 500)
-                texts = [text or "" for text in part.column(1).to_pylist()]
+            for low, high in slices(utf8(batch.column(1))[1], _BYTES_AT_ONCE):
+                part = batch.slice(low, high - low)
                 rows, starts, numbers, pieces = [], [], [], []
-                for row, data in enumerate(encode(texts)):
+                for row, data in enumerate(encode(part.column(1).fill_null(""))):
                     data += end
                     for number, start in enumerate(range(0, len(data), 4 * capacity)):
                         rows.append(row)
