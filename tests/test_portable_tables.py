@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.fm import FactorizationMachine
 from clickloom.plans.models import CtrModel
-from clickloom.plans.portable_tables import export_model, read_tables, score_tables
+from clickloom.plans.portable_tables import Tables, export_model, read_tables, score_tables
 from clickloom.plans.scoring import score
 from verification.fixtures import DIM, LABEL
 
@@ -81,3 +83,20 @@ def test_tables_are_plain_and_strangers_are_refused(spark, tiny_samples, tmp_pat
         export_model(other, str(tmp_path / "other"))
     with pytest.raises(ValueError, match="missing"):
         score_tables(tiny_samples.drop("item_ctr"), read_tables(spark, str(tmp_path / "m")))
+
+
+def test_features_are_made_once_for_all_outputs_of_a_layer(spark):
+    tables = Tables()
+    scaler = tables.add("standard", ["raw"], "x")
+    tables.vector(scaler, "mean", [7.25, 7.25])
+    tables.vector(scaler, "std", [2.0, 2.0])
+    network = tables.add("network", ["x"], "ctr")
+    tables.matrix(network, "weight0", [[0.4375, 1.0], [2.0, -1.0]])
+    tables.vector(network, "bias0", [0.5, 0.25])
+    out = score_tables(spark.createDataFrame([([1.0, 2.0],), ([7.25, 7.25],)], "raw array<double>"), tables)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # The scaler's numbers stand before the weights, as the array that all outputs share, not inside of their function.
+    assert plan.index("7.25") < plan.index("0.4375")
+    x = [[-3.125, -2.625], [0.0, 0.0]]
+    raws = [(0.4375 * a + b + 0.5, 2.0 * a - b + 0.25) for a, b in x]
+    assert [r.ctr for r in out.collect()] == [pytest.approx(1 / (1 + math.exp(no - yes))) for no, yes in raws]
