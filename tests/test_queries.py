@@ -43,3 +43,10 @@ def test_random_samples_keep_their_promise(spark):
 def test_no_query_cuts_its_input_short():
     source = inspect.getsource(catalogue)
     assert ".limit(" not in source and ".sample(" not in source and ".head(" not in source
+
+
+def test_regression_moments_are_given_and_those_of_the_labels(spark):
+    rows = {r.position: r for r in QUERIES["lr_moments"](spark, TINY).collect()}
+    # The observed sum over 1,000 rows, rounded half up, is the moment that the fitted probabilities give.
+    assert {p: r.moment for p, r in rows.items()} == {p: int(r.observed + 0.5 + 1e-9) / 1000 for p, r in rows.items()}
+    assert len(rows) == 15 and all(r.met for r in rows.values())

@@ -437,7 +437,7 @@ FROM forward CROSS JOIN (SELECT min(item_ctr) AS low, max(item_ctr) AS high FROM
     "random_split": on_samples("SELECT event_id, CAST(1 AS BIGINT) AS parts FROM samples"),
     "mini_batch_whole": on_samples("SELECT event_id FROM samples"),
     "lr_moments": on_samples(
-        "SELECT CAST(position AS INT) AS position, round(sum(label_planted * value), 6) AS observed, TRUE AS met FROM x GROUP BY 1", *features("inner")
+        "SELECT CAST(position AS INT) AS position, round(avg(label_planted * value), 3) AS moment, round(sum(label_planted * value), 6) AS observed, TRUE AS met FROM x GROUP BY 1", *features("inner")
     ),
     "nn_forward": network_forward("base", 142),
     "ipnn_forward": network_forward("inner", 15),
