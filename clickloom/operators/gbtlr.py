@@ -52,7 +52,7 @@ from clickloom.functions.labels import require_binary
 from clickloom.operators.checks import at_least, between, one_of, positive_whole
 from clickloom.operators.features import vector_width
 from clickloom.operators.leaf_rules import leaf_rules, with_weights
-from clickloom.session import cached, materialise, scratch_path
+from clickloom.session import VECTOR_ROWS, cached, materialise, scratch_path
 
 _LEAVES, _TOKENS, _ONE_HOT, _LABEL = "_gbt_leaves", "_gbt_tokens", "_gbt_one_hot", "_gbt_label"
 
@@ -214,7 +214,7 @@ class GBTLRClassifier(Estimator, _GBTLRParams, DefaultParamsReadable, DefaultPar
         points = dataset.select(require_binary(self.getLabelCol()).alias(_LABEL), features, *weight)
         with cached(points):
             trees = self._trees().fit(points)
-            described = materialise(add_leaf_features(points, trees, features, output), "leaves")
+            described = materialise(add_leaf_features(points, trees, features, output), "leaves", VECTOR_ROWS)
             regression = self._regression().fit(described)
         model = self._copyValues(GBTLRClassificationModel(trees, regression))
         model._resetUid(self.uid)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.operators.features import FEATURES, RAW_INPUTS, feature_stages, fit_features, vector_width
 from clickloom.operators.gbtlr import GBTLRClassifier
-from clickloom.session import materialise
+from clickloom.session import VECTOR_ROWS, materialise
 
 SEED = 1234
 
@@ -133,4 +133,4 @@ def prepared_table(features: PipelineModel, samples: DataFrame, label: str) -> D
     """Feature vector and label of every sample, written out for the iterations to read."""
     inputs = samples.select(*dict.fromkeys([*RAW_INPUTS, label]))
     prepared = features.transform(inputs).select(FEATURES, label)
-    return materialise(prepared, "prepared")
+    return materialise(prepared, "prepared", VECTOR_ROWS)

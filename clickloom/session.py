@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # A table with more rows, or more elements in its arrays, isn't broadcast.
 BROADCAST_ROWS, BROADCAST_ELEMENTS = 300_000, 1_500_000
+# Rows in a file of a table of vectors.
+VECTOR_ROWS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,17 +51,19 @@ def ship_package(spark: SparkSession) -> None:
     context._clickloom_shipped = True
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
     Iterative fits run a job per step, and every job ships the lineage of its input: this cuts it,
     and a lost executor rereads files instead of repeating joins and windows. The scan splits files
     by size, so a partition swollen by a hot key is evened out as well. Like checkpoint files, the
     table stays until the shared folder is expired, because fitted models may refer to it.
+    ``rows_per_file`` (0: any) is for rows that take far more memory than storage, as vectors that
+    repeat: a scan counts each file as 4 MB at least, so that no task gets more than some 30 files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -33,7 +33,7 @@ from clickloom.plans.models import CtrModel
 from clickloom.plans.portable_net import score_portable_net
 from clickloom.plans.portable_tables import export_model, read_tables, score_tables
 from clickloom.plans.scoring import load_and_score, save_model, score
-from clickloom.session import cached, materialise, scratch_path, ship_package
+from clickloom.session import VECTOR_ROWS, cached, materialise, scratch_path, ship_package
 from clickloom.sources.samples import read_samples, write_samples
 from clickloom.streaming.scoring import write_scores
 from verification.fixtures import (
@@ -69,7 +69,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample table written out, for queries that pass over it several times."""
-    return materialise(samples(spark, sf_dir), "samples")
+    return materialise(samples(spark, sf_dir), "samples", VECTOR_ROWS)
 
 
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -460,7 +460,7 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", LABEL, F.col("is_new_user").cast("double").alias("f0"),
         (F.col("content_type") < "c5").cast("double").alias("f1"), (F.col("user_item_click") > 0).cast("double").alias("f2"),
     )
-    return materialise(VectorAssembler(inputCols=["f0", "f1", "f2"], outputCol=FEATURES).transform(df), "flags")
+    return materialise(VectorAssembler(inputCols=["f0", "f1", "f2"], outputCol=FEATURES).transform(df), "flags", VECTOR_ROWS)
 
 
 def one_stump_forest() -> RandomForestClassifier:
