@@ -6,7 +6,8 @@ reaches the threshold is below the miss probability. What survives is confirmed
 
 Pairs are never made within a bucket. Each member is held against the bucket's smallest one and the
 one that meets most others; what that links falls into components. Buckets that still hold several
-components are cut into tiles of a few hundred members, and two tiles are compared inside a task, signatures
+components are cut into tiles of a few hundred members; a component with many members in a bucket has tiles
+of its own, which all its buckets share. Two tiles that meet in a bucket are compared inside a task, signatures
 first and then, in buckets of more than ``FEW`` members, the short hashes of their full sets, which bound the similarity
 from above: only promising pairs of different components leave it, each
 from the first bucket its members share, and are confirmed. In a first round each member of a tile pair leaves with its best
@@ -22,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import components
@@ -37,6 +38,7 @@ TILE, TILE_SHINGLES = 256, 500_000
 # A bucket of so many members can't make many pairs.
 FEW = 32
 _PAIRS_AT_ONCE = 1 << 17
+_PASSED_AT_ONCE = 1 << 12
 _CELLS = 1 << 17
 _DOCS_AT_ONCE = 500
 
@@ -134,6 +136,16 @@ def passing(one: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray, ru
     return going, agree
 
 
+def meet_before(one: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray, of_band: np.ndarray, bands: int) -> np.ndarray:
+    """Which of the pairs of rows ``one[i]``, ``other[j]`` agree in all codes of a band before ``of_band``."""
+    met = np.empty(len(i), bool)
+    for low in range(0, len(i), _PASSED_AT_ONCE):
+        part = slice(low, low + _PASSED_AT_ONCE)
+        same = (one[i[part]] == other[j[part]]).reshape(len(i[part]), bands, -1).all(axis=2)
+        met[part] = (same & (np.arange(bands) < of_band[part][:, None])).any(axis=1)
+    return met
+
+
 def best_partners(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> np.ndarray:
     """Positions of pairs that are the best one of either member; ties go to the smaller partner."""
     chosen = []
@@ -163,8 +175,8 @@ def compare_tiles(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Promising pairs ``a`` < ``b`` of different components, of members that share no bucket of an earlier band.
 
-    The first column is the band of each row's bucket, the second has tiles, the third those each is
-    compared with, if there is one: else a tile's members are compared with one another.
+    The first column is the band of each row's bucket (0 between tiles of no single bucket), the second has tiles,
+    the third those each is compared with, if there is one: else a tile's members are compared with one another.
     """
     band = batch.column(0).to_numpy()
     one = _Tile(batch.column(1), n)
@@ -176,8 +188,7 @@ def compare_tiles(
         held.clear()
         kept, agree = passing(one.code, other.code, i, j, rules)
         i, j = i[kept], j[kept]
-        shared = band_keys(one.code[i], bands) == band_keys(other.code[j], bands)
-        new = ~(shared & (np.arange(bands) < of_band[kept][:, None])).any(axis=1)
+        new = ~meet_before(one.code, other.code, i, j, of_band[kept], bands)
         i, j, agree = i[new], j[new], agree[new]
         sets = ((one.set_of(x), other.set_of(y)) for x, y in zip(i, j))
         linked = np.fromiter((x is None or y is None or may_be_similar(x, y, threshold) for x, y in sets), bool, len(i))
@@ -274,18 +285,21 @@ def component_ids(
             own = np.arange(len(batch))
             going, _ = passing(left, right, own, own, rules)
             yield batch.select([0, 1]).take(pa.array(going))
+            give_back()
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words))
             keep = [row for row, (a, b) in enumerate(pairs) if similar_sets(a, b, threshold)]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+            give_back()
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(low, _DOCS_AT_ONCE) for whole in batches for low in range(0, len(whole), _DOCS_AT_ONCE)):
             sets = list(shingle_sets(batch.column(1), words))
             set1 = np.array([np.bitwise_xor.reduce(own) for own in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set1), pa.array([(own >> np.uint64(32)).astype(np.uint32).tobytes() for own in sets], pa.binary())], ["rep", "set1", "shingles"])
+            give_back()
 
     def pruned(pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (``a``, ``b``, representatives) that the rules let through."""
@@ -302,52 +316,59 @@ def component_ids(
         whole = whole.join(named.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         return stored(whole.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long"), "confirmed")
 
-    def tiled(links: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components, about ``TILE`` to a row."""
+    def tiled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of the buckets that hold several components, about ``TILE`` to a row, and the tiles of each bucket."""
         labels = components(links).withColumnRenamed("node", "rep")
         labelled = shared.join(labels, "rep", "left").select("bucket", "band", "held", "rep", F.coalesce("label", "rep").alias("label"))
         mixed = labelled.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last").select("bucket")
         # A document's rows may differ in text: then it stands for several sets.
         members = stored(labelled.join(mixed, "bucket").join(codes.drop("code"), "rep"), "mixed")
-        ids = stored(members.filter(F.col("held") > FEW).select(F.col("rep").alias("doc_id")).distinct(), "ids")
-        short = texts.join(small(ids), "doc_id").mapInArrow(full_sets, "rep long, set1 long, shingles binary")
-        short = stored(short.dropDuplicates(["rep", "set1"]), "sets")
-        # A component that fills tiles has its own, which needn't be compared with each other; other
-        # members are parted by size, so that tiles too far apart in size aren't compared either.
-        large = stored(members.groupBy("bucket", "label").count().filter(F.col("count") >= TILE).select("bucket", "label", F.lit(True).alias("large")), "large")
+        ids = stored(members.groupBy(F.col("rep").alias("doc_id")).agg(F.max("held").alias("held")), "ids")
+        short = texts.join(small(ids.filter(F.col("held") > FEW).select("doc_id")), "doc_id").mapInArrow(full_sets, "rep long, set1 long, shingles binary")
+        carried = codes.drop("n").join(small(ids.select(F.col("doc_id").alias("rep"))), "rep")
+        carried = stored(carried.join(short.dropDuplicates(["rep", "set1"]), ["rep", "set1"], "left").dropDuplicates(["rep", "set1"]), "carried")
+        # A component with many members in a bucket has tiles of its own, which needn't be compared with each
+        # other; a member is in one of them alone, whatever the number of its buckets, beside those it meets in the
+        # fullest. Other members are parted by size, so that tiles too far apart in size aren't compared either.
+        large = stored(members.groupBy("bucket", "label").agg(F.count("*").alias("together")).filter(F.col("together") >= TILE // 4), "large")
+        fullest = F.max(F.struct("together", "bucket")).over(Window.partitionBy("rep", "set1"))["bucket"]
         size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
-        group = {"whose": F.when(F.col("large"), F.col("label")).otherwise(0), "size": F.when(F.col("large"), -1).otherwise(size)}
-        placed = members.join(small(large), ["bucket", "label"], "left").withColumns(group)
-        parts = ["bucket", "whose", "size"]
+        own = F.col("together").isNotNull()
+        place = {"place": F.when(own, fullest).otherwise(F.col("bucket")), "whose": F.when(own, F.col("label")).otherwise(0),
+                 "size": F.when(own, -1).otherwise(size), "band": F.when(own, 0).otherwise(F.col("band"))}
+        placed = stored(members.join(small(large), ["bucket", "label"], "left").withColumns(place), "placed")
+        parts = ["place", "whose", "size"]
+        once = [*parts, "rep", "set1"]
         tiles_of = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES))
-        crowded = stored(placed.groupBy(*parts).agg(tiles_of.alias("tiles")).filter("tiles > 1"), "crowded")
-        placed = placed.join(small(crowded), parts, "left")
-        many = placed.filter(F.col("held") > FEW).join(short, ["rep", "set1"])
-        placed = many.unionByName(placed.filter(F.col("held") <= FEW).withColumn("shingles", F.lit(None).cast("binary")))
-        placed = placed.join(codes.drop("n"), ["rep", "set1"])
+        crowded = stored(placed.dropDuplicates(once).groupBy(*parts).agg(tiles_of.alias("tiles")).filter("tiles > 1"), "crowded")
         number = F.pmod(F.xxhash64("rep"), F.coalesce("tiles", F.lit(1)))
-        tiles = placed.groupBy(*parts, number.alias("number")).agg(
+        placed = placed.join(small(crowded), parts, "left").withColumn("number", number)
+        whole = placed.dropDuplicates(once).join(carried, ["rep", "set1"]).withColumn("shingles", F.when(F.col("held") > FEW, F.col("shingles")))
+        tiles = whole.groupBy(*parts, "number").agg(
             F.min("band").alias("band"), F.collect_list(F.struct("rep", "label", "n", "code", "shingles")).alias("members"),
             F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("first"), F.max("label").alias("last"),
         )
-        return stored(tiles.drop("whose", "size", "number").withColumn("tile", F.monotonically_increasing_id()), "tiles")
+        tiles = stored(tiles.withColumn("tile", F.monotonically_increasing_id()), "tiles")
+        at = placed.select("bucket", *parts, "number").distinct()
+        return tiles, stored(at.join(tiles.drop("members", "band"), [*parts, "number"]).drop(*parts, "number"), "places")
 
-    def across(tiles: DataFrame, best_only: bool) -> DataFrame:
-        """Promising pairs of different components, within tiles and between tiles of one bucket."""
+    def across(tiles: DataFrame, places: DataFrame, best_only: bool) -> DataFrame:
+        """Promising pairs of different components, within tiles and between tiles that meet in a bucket."""
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a, b in compare_tiles(batch, bands, n, rules, threshold, best_only):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                give_back()
 
         within = tiles.filter("first <> last").select("band", "members").mapInArrow(compare, "a long, b long")
-        one, other = (tiles.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("tile", "low", "high", "first", "last")]) for side in "ab")
+        one, other = (places.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("tile", "low", "high", "first", "last")]) for side in "ab")
         in_reach = f"100 * high_a >= {threshold} * low_b and 100 * high_b >= {threshold} * low_a"
         one_component = "first_a = last_a and first_b = last_b and first_a = first_b"
-        meet = one.join(other, "bucket").filter(f"tile_a < tile_b and {in_reach} and not ({one_component})").select("tile_a", "tile_b")
-        meet = meet.join(tiles.select(F.col("tile").alias("tile_a"), "band", F.col("members").alias("members_a")), "tile_a")
-        meet = meet.join(tiles.select(F.col("tile").alias("tile_b"), F.col("members").alias("members_b")), "tile_b")
-        between = meet.select("band", "members_a", "members_b").mapInArrow(compare, "a long, b long")
+        meet = one.join(other, "bucket").filter(f"tile_a < tile_b and {in_reach} and not ({one_component})").select("tile_a", "tile_b").distinct()
+        for side in "ab":
+            meet = meet.join(tiles.select(*[F.col(c).alias(f"{c}_{side}") for c in ("tile", "band", "members")]), f"tile_{side}")
+        between = meet.select(F.greatest("band_a", "band_b").alias("band"), "members_a", "members_b").mapInArrow(compare, "a long, b long")
         return within.unionByName(between).distinct()
 
     # Copies of a set under several ids of which one stands for two sets connect those.
@@ -357,7 +378,7 @@ def component_ids(
     rays = to_first.unionByName(to_hub).filter("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     links = confirmed(pruned(rays.distinct()))
     for best_only in (True, False):
-        links = links.unionByName(confirmed(across(tiled(links), best_only)))
+        links = links.unionByName(confirmed(across(*tiled(links), best_only)))
     final = stored(components(links.unionByName(copies)), "components")
     found = sketches.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")

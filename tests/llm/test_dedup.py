@@ -176,6 +176,43 @@ def test_members_of_buckets_meet_in_tiles(make, monkeypatch):
     assert len(set(plain.values())) > 3
 
 
+def test_a_component_of_many_buckets_is_in_tiles_once(make, monkeypatch):
+    """Near copies that share most of their bands, beside texts just below the threshold to them."""
+    monkeypatch.setattr(near_dedup, "TILE", 16)
+    monkeypatch.setattr(near_dedup, "FEW", 4)
+    held, stored = [], near_dedup.stored
+
+    def watched(df, name):
+        table = stored(df, name)
+        if name == "tiles":
+            held.append(table.selectExpr("inline(members)").groupBy("rep").count().toPandas().set_index("rep")["count"].to_dict())
+        return table
+
+    monkeypatch.setattr(near_dedup, "stored", watched)
+    draw, base, texts = random.Random(11), [f"w{k}" for k in range(100)], []
+    for edits in [3] * 40 + [12] * 10:
+        own = list(base)
+        for k in draw.sample(range(100), edits):
+            own[k] = f"e{draw.randrange(10**9)}"
+        texts.append(" ".join(own))
+    rows = near_dedup.component_ids(make(texts), words=1).collect()
+    plain = brute_components(dict(enumerate(texts)), 1, 80)
+    assert {r.doc_id: r.component_id for r in rows} == plain and len(set(plain.values())) > 1
+    copies = [sum(tiles.get(k, 0) for k in range(40)) / 40 for tiles in held]
+    assert len(held) == 2 and max(copies) < 8  # before, a member was in a tile of each of some 30 buckets
+
+
+def test_bands_that_met_before_are_found_in_parts(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_PASSED_AT_ONCE", 7)
+    n, draw = near_dedup.BANDS * near_dedup.ROWS, np.random.default_rng(8)
+    codes = draw.integers(0, 2, (30, n), dtype=np.uint8)
+    i, j, of_band = (draw.integers(0, high, 500) for high in (30, 30, near_dedup.BANDS))
+    keys = near_dedup.band_keys(codes, near_dedup.BANDS)
+    plain = [bool((keys[a, :k] == keys[b, :k]).any()) for a, b, k in zip(i, j, of_band)]
+    assert near_dedup.meet_before(codes, codes, i, j, of_band, near_dedup.BANDS).tolist() == plain
+    assert len(near_dedup.meet_before(codes, codes, i[:0], j[:0], of_band[:0], near_dedup.BANDS)) == 0
+
+
 @pytest.mark.parametrize("best_only", [True, False])
 def test_tiles_give_promising_pairs_of_different_components(best_only):
     n = near_dedup.BANDS * near_dedup.ROWS
