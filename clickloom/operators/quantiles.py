@@ -25,15 +25,16 @@ def exact_quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
     if rows == 0:
         raise ValueError(f"no values to cut in column {column}")
     counted = values.groupBy("value").agg(F.count("*").alias("n"))
-    # 0-based position of the i-th cut is ceil(i * rows / parts) - 1, in whole numbers.
-    positions = [(i * rows + parts - 1) // parts - 1 for i in range(1, parts)]
-    hits = F.filter(F.lit(positions), lambda p: (p >= F.col("before")) & (p < F.col("before") + F.col("n")))
+    # The 0-based position of the i-th cut is ceil(i * rows / parts) - 1, so a value holds the cuts with
+    # before * parts < i * rows <= (before + n) * parts: two whole divisions, whatever the number of parts.
+    first, last = F.expr(f"before * {parts}L div {rows}L + 1"), F.least(F.lit(parts - 1).cast("long"), F.expr(f"(before + n) * {parts}L div {rows}L"))
     with cached(counted):
         chunked = with_chunks(counted, ["value"], chunks_for(rows))
         ranked = totals_before(chunked, ["value"], [((), {"before": F.col("n")})])
-        found = ranked.select("value", F.explode(hits).alias("position")).collect()
-    by_position = {r["position"]: r["value"] for r in found}
-    return [by_position[p] for p in positions]
+        held = ranked.select("value", first.alias("first"), last.alias("last")).filter("first <= last")
+        found = held.select("value", F.explode(F.sequence("first", "last")).alias("cut")).collect()
+    by_cut = {r["cut"]: r["value"] for r in found}
+    return [by_cut[i] for i in range(1, parts)]
 
 
 class QuantileCuts(
