@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.llm.storage import small, stored
+from clickloom.llm.storage import small, stored, tidied
 
 LEAST_CHARS = 30
 _PLACE = ["doc", "text_hash", "pos"]
@@ -43,6 +43,7 @@ def _ranked(suffixes: DataFrame, by: list[str]) -> DataFrame:
     return joined.select(*_PLACE, F.col("rank_of").alias("rank"), (place != F.col("first")).alias("later"), "chars")
 
 
+@tidied
 def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """Lines to delete, as ``runs`` (disjoint ``[from, to)`` in order) for each document that has some.
 
@@ -75,7 +76,7 @@ def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     begins = every.select(*_DOC, "from", "to", F.coalesce((F.col("from") > reach), F.lit(True)).cast("int").alias("new"))
     grouped = begins.withColumn("run", F.sum("new").over(inner.rowsBetween(W.unboundedPreceding, 0)))
     runs = grouped.groupBy(*_DOC, "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
-    return stored(runs.groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs")), "runs")
+    return stored(runs.groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs")), "runs", lasting=True)
 
 
 def delete_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:

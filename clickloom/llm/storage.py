@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.session import scratch_path
@@ -10,9 +14,39 @@ from clickloom.session import scratch_path
 BROADCAST_ROWS, BROADCAST_ELEMENTS = 300_000, 1_500_000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table as read back from the shared folder: what follows neither repeats nor renumbers it."""
+# Paths of tables that go when the running step has its result.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+def tidied(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``step``, after which the tables it stored are deleted, but for lasting ones: its result may read those alone."""
+
+    @wraps(step)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        token = _PASSING.set([])
+        try:
+            return step(docs, *args, **options)
+        finally:
+            for path in _PASSING.get():
+                _delete(docs.sparkSession, path)
+            _PASSING.reset(token)
+
+    return run
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """The table as read back from the shared folder: what follows neither repeats nor renumbers it.
+
+    Within a step that is ``tidied`` it goes at the end, unless it is ``lasting``.
+    """
     path = scratch_path(df.sparkSession, name)
+    if not lasting and _PASSING.get() is not None:
+        _PASSING.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickloom.llm.storage import small, stored
+from clickloom.llm.storage import small, stored, tidied
 from clickloom.llm.texts import give_back, mix, slices, span_hashes, utf8, window_hashes, word_spans
 from clickloom.session import ship_package
 
@@ -134,6 +134,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return b" ".join(left).decode()
 
 
+@tidied
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Columns ``doc_id``, ``text_hash``, ``spans``: disjoint word spans (from, to) that earlier documents have.
 
@@ -234,7 +235,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             rows = [[{"from": a, "to": b} for a, b in merged([(s["from"], s["to"]) for s in spans])] for spans in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, batch.column(2).type)], [*_KEY, "spans"])
 
-    return stored(gathered.mapInArrow(unite, f"doc_id long, text_hash long, spans {kind}"), "spans")
+    return stored(gathered.mapInArrow(unite, f"doc_id long, text_hash long, spans {kind}"), "spans", lasting=True)
 
 
 def delete_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
