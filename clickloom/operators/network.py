@@ -27,8 +27,8 @@ from clickloom.session import cached, ship_package
 
 # Rows of a block, and those whose activations are held at a time.
 BLOCK_ROWS, CHUNK_ROWS = 1 << 15, 1 << 11
-# Below so many rows the jobs of a machine's and a network's steps take longer than what they sum.
-LEAST_ROWS, LEAST_ROWS_NETWORK = 200_000, 1_000_000
+# Below so many rows the jobs of the steps take longer than what they sum.
+LEAST_ROWS = 1_000_000
 # Values of the objective that L-BFGS of Spark ML looks back on, steps it remembers, and its search for a step length.
 _MEMORY, _CORRECTIONS = 20, 10
 _DECREASE, _CURVATURE, _TRIES = 1e-4, 0.9, 10
@@ -282,7 +282,7 @@ class BlockNetwork(MultilayerPerceptronClassifier):
     """
 
     shared: Sequence[tuple[int, int]] = ()
-    least_rows = LEAST_ROWS_NETWORK
+    least_rows = LEAST_ROWS
 
     def _fit(self, dataset: DataFrame) -> MultilayerPerceptronClassificationModel:
         if self.getSolver() != "l-bfgs" or dataset.count() < self.least_rows:
