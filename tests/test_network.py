@@ -10,10 +10,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import VectorSizeHint
 from pyspark.sql import functions as F
 
-from clickloom.functions.labels import as_double
+from clickloom.functions.labels import as_double, as_sign
 from clickloom.operators import network
 from clickloom.operators.features import FEATURES, embedding_ranges
-from clickloom.operators.network import BlockFM, BlockNetwork, SearchFailed, block_evaluator, block_loss_and_gradient, distinct_rows, pack_blocks, wolfe_step
+from clickloom.operators.fm import pack_rows, row_evaluator
+from clickloom.operators.fm_math import CLASSIFICATION, Shape
+from clickloom.operators.network import (
+    BlockFM, BlockNetwork, SearchFailed, block_evaluator, block_features, block_loss_and_gradient, distinct_rows, kept_blocks,
+    machine_evaluator, numbered_columns, pack_blocks, wolfe_step,
+)
 from clickloom.plans.models import MODELS, CtrModel
 
 LAYERS, SHARED = [10, 5, 2], [(2, 6), (6, 10)]
@@ -127,3 +132,65 @@ def test_registered_networks_share_their_embeddings(tiny_samples, monkeypatch):
     (layers, shared, tables), = seen
     width = layers[0]
     assert shared == [(width - 128, width - 64), (width - 64, width)] and max(tables) > 0
+
+
+def few_valued(n: int) -> np.ndarray:
+    """Three columns that are one of five rows, one of its own, a bucket and a count."""
+    draw = np.random.default_rng(9)
+    return np.hstack([draw.random((5, 3))[draw.integers(0, 5, n)], draw.random((n, 1)), draw.integers(0, 9, (n, 1)) / 9, draw.integers(0, 4, (n, 1)) * 1.0])
+
+
+def test_columns_of_few_values_are_numbered_exactly():
+    x = few_valued(2000)
+    runs = numbered_columns(x, 100)
+    assert [r[:2] for r in runs] == [(0, 3), (4, 6)]
+    for start, stop, codes, table in runs:
+        assert np.array_equal(table[codes], x[:, start:stop]) and len(table) == len(np.unique(x[:, start:stop], axis=0))
+    assert [r[:2] for r in numbered_columns(x, 20)] == [(0, 3), (4, 5), (5, 6)]
+    assert numbered_columns(x[:, 3:4], 100) == []
+
+
+@pytest.mark.parametrize("layers", [[14, 6, 2], [14, 6, 3, 2], [14, 20, 3], [14, 2]])
+@pytest.mark.parametrize("scale", [0.5, 400.0])
+def test_a_gradient_is_the_same_when_all_parts_are_numbered(layers, scale):
+    """Exponentials are multiplied where they are small enough, else sums are taken; rows in order or not."""
+    draw, n = np.random.default_rng(4), 5000
+    parts = [(0, 10, draw.random((7, 10))), (10, 14, draw.random((40, 4)))]
+    flat = draw.normal(0, scale, sum((a + 1) * b for a, b in zip(layers, layers[1:])))
+    y, codes = draw.integers(0, layers[-1], n), [np.sort(draw.integers(0, 7, n)), draw.integers(0, 40, n)]
+    x = np.hstack([t[c] for (_, _, t), c in zip(parts, codes)])
+    wide = [(0, 10, np.hstack([parts[0][2], np.zeros((7, 0))]))]
+    plain = block_loss_and_gradient(y, x, [], [], layers, [], flat)
+    numbered = block_loss_and_gradient(y, np.empty((n, 0)), codes, [t for _, _, t in parts], layers, [p[:2] for p in parts], flat)
+    half = block_loss_and_gradient(y, x[:, 10:], codes[:1], [wide[0][2]], layers, [(0, 10)], flat)
+    for other in (numbered, half):
+        assert other[0] == pytest.approx(plain[0], rel=1e-9)
+        np.testing.assert_allclose(other[1], plain[1], rtol=1e-7, atol=1e-7 * np.abs(plain[1]).max())
+
+
+def test_sums_by_number_are_the_same_in_any_order():
+    draw = np.random.default_rng(6)
+    by_unit, codes = draw.random((3, 500)), np.sort(draw.choice([0, 2, 3, 7], 500))
+    shuffled = draw.permutation(500)
+    one, other = network._sums_by_number(by_unit, codes, 9), network._sums_by_number(by_unit[:, shuffled], codes[shuffled], 9)
+    np.testing.assert_allclose(one, other)
+    assert one.shape == (9, 3) and not one[[1, 4, 5, 6, 8]].any()
+
+
+def test_blocks_hold_few_valued_columns_by_number_and_steps_plan_nothing(spark, monkeypatch):
+    monkeypatch.setattr(network, "BLOCK_ROWS", 1000)
+    x, y = few_valued(3000), np.random.default_rng(2).integers(0, 2, 3000)
+    df = spark.createDataFrame([(v.tolist(), float(c)) for v, c in zip(x, y)], "v array<double>, label double").repartition(3)
+    df = VectorSizeHint(inputCol=FEATURES, size=6).transform(df.select(array_to_vector("v").alias(FEATURES), "label"))
+    shape = Shape(6, 2)
+    flat = np.random.default_rng(1).normal(0, 0.3, shape.size)
+    (rows,) = row_evaluator(pack_rows(df, FEATURES, as_sign("label")), shape, CLASSIFICATION)([flat], 1)
+    with kept_blocks(pack_blocks(df, FEATURES, as_double("label"), 2)) as held:
+        blocks = held.collect()
+        assert all(len(b.dense) == 8 * len(b.y) and [(p.start, p.stop) for p in b.own] == [(0, 3), (4, 6)] for b in blocks)
+        found = np.vstack([np.hstack([block_features(b, 6), np.frombuffer(b.y, np.int8)[:, None]]) for b in blocks])
+        assert sorted(map(tuple, found)) == sorted(map(tuple, np.hstack([x, y[:, None]])))
+        monkeypatch.setattr(type(df), "mapInArrow", lambda *_: pytest.fail("a step makes a new plan"))
+        (one,) = machine_evaluator(held, shape)([flat], 1)
+    assert one[2] == rows[2] == 3000 and one[0] == pytest.approx(rows[0], rel=1e-12)
+    np.testing.assert_allclose(one[1], rows[1], rtol=1e-9, atol=1e-12)
