@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.fm import FactorizationMachine
+from clickloom.plans import portable_tables
 from clickloom.plans.models import CtrModel
 from clickloom.plans.portable_tables import Tables, export_model, read_tables, score_tables
 from clickloom.plans.scoring import score
@@ -100,3 +101,23 @@ def test_features_are_made_once_for_all_outputs_of_a_layer(spark):
     x = [[-3.125, -2.625], [0.0, 0.0]]
     raws = [(0.4375 * a + b + 0.5, 2.0 * a - b + 0.25) for a, b in x]
     assert [r.ctr for r in out.collect()] == [pytest.approx(1 / (1 + math.exp(no - yes))) for no, yes in raws]
+
+
+def test_layers_that_are_written_out_give_the_same_scores_and_are_compiled(spark, monkeypatch):
+    tables = Tables()
+    network = tables.add("network", ["x"], "ctr")
+    tables.matrix(network, "weight0", [[((7 * i + 3 * j) % 11 - 5) / 20 for j in range(20)] for i in range(16)])
+    tables.vector(network, "bias0", [i / 40 for i in range(16)])
+    tables.matrix(network, "weight1", [[(i + j) % 3 - 1.0 for j in range(16)] for i in range(2)])
+    tables.vector(network, "bias1", [0.1, -1e-7])
+    whole = [[math.sin(k * j + 1) for j in range(20)] for k in range(30)]
+    odd = [None, [], whole[0][:19], [*whole[0], 1.0], [*whole[0][:19], None], [*whole[0][:19], 1e300]]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate([*whole, *odd])], "k long, x array<double>")
+    out = score_tables(rows, tables)
+    assert out.columns == ["k", "x", "ctr"]
+    # The sums are a step of their own; inside of the function over them they would be walked through value by value.
+    assert "transform(_sums0" in out._jdf.queryExecution().optimizedPlan().toString()
+    written = {r.k: r.ctr for r in out.collect()}
+    monkeypatch.setattr(portable_tables, "WRITTEN_OUT", (math.inf, 0))
+    assert {r.k: r.ctr for r in score_tables(rows, tables).collect()} == written
+    assert [k for k, v in written.items() if v is None] == [30, 31, 32, 33, 34]
