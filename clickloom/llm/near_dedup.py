@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import components
-from clickloom.llm.storage import small, stored, tidied
+from clickloom.llm.storage import lasting, small, stored, tidied
 from clickloom.llm.texts import LOWER, give_back, mix, slices, span_hashes, utf8, window_hashes, word_spans
 from clickloom.session import ship_package
 
@@ -380,8 +380,8 @@ def component_ids(
     links = confirmed(pruned(rays.distinct()))
     for best_only in (True, False):
         links = links.unionByName(confirmed(across(*tiled(links), best_only)))
-    final = stored(components(links.unionByName(copies)), "components", lasting=True)
-    sizes = stored(sketches.select("doc_id", "n_shingles"), "sizes", lasting=True)
+    final = lasting(components(links.unionByName(copies)), "components")
+    sizes = lasting(sketches.select("doc_id", "n_shingles"), "sizes")
     found = sizes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("label", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

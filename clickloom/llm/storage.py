@@ -51,6 +51,11 @@ def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def lasting(df: DataFrame, name: str) -> DataFrame:
+    """Like ``stored``, and not deleted at the end of a step."""
+    return stored(df, name, lasting=True)
+
+
 def small(df: DataFrame, array: str | None = None) -> DataFrame:
     """A stored table, to be broadcast if its rows (and elements of ``array``) are counted to be few.
 
